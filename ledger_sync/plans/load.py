@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
@@ -20,7 +20,7 @@ from ledger_sync.operators.validate import (
     ORPHAN, accepted, as_record, check_transactions, check_users, orphan_userids, orphans,
     rejected, without_orphans,
 )
-from ledger_sync.plans.warehouse import DAY, REJECTS, Entry, Warehouse, remove_folder
+from ledger_sync.plans.warehouse import PERIOD, REJECTS, Entry, Warehouse, remove_folder
 from ledger_sync.schemas import (
     METADATA, RECORD, REASON, SCRIPT, TRANSACTION_COLUMNS, TRANSACTION_SINK_COLUMNS, TRANSACTIONS,
     USER_COLUMNS, USERS, Preset,
@@ -68,7 +68,7 @@ class _Batch:
     rows: DataFrame
     size: int
     counts: Counts
-    days: list[str | None] = field(default_factory=list)
+    periods: set[str | None] = field(default_factory=set)
     first_key: int | None = None
     last_key: int | None = None
 
@@ -124,8 +124,9 @@ def load_batch(
         version = warehouse.next_version()
         rejects = _write_rejects(warehouse, version, user_batch, txn_batch, orphan_rows)
         before = warehouse.entries()
-        days, replaced = _merge_transactions(warehouse, before, txn_batch, version)
-        _count_users(stored_users, user_batch)
+        periods, replaced = _merge_transactions(warehouse, before, txn_batch, version)
+        pairs = matched(stored_users, user_batch.rows, "userid", user_batch.size)
+        _count_changes(user_batch, pairs)
 
         if balances == "net_changes":
             merged = merge_users_keeping_balance(stored_users, user_batch.rows)
@@ -135,14 +136,15 @@ def load_batch(
             incoming = user_batch.rows.repartition("userid")
             merged = upsert(stored_users, incoming, "userid", user_batch.size)
             mark = warehouse.watermark()
-            recent = warehouse.read_days(_days_from(days, mark)).drop(DAY)
+            dated = [] if mark is None else warehouse.periods_from(periods, mark.date())
+            recent = warehouse.read_periods(dated)
             refreshed = refresh_balances(merged, recent, mark, warehouse.limits.money)
 
         metadata = advance_watermark(warehouse.metadata(), run_ts)
         entries = [
             warehouse.write_whole(USERS, refreshed, version),
             warehouse.write_whole(METADATA, metadata, version),
-            *days,
+            *periods,
             *rejects,
         ]
         warehouse.publish(version, entries, batch)
@@ -177,22 +179,22 @@ def _stage_transactions(
 ) -> _Batch:
     def check(df: DataFrame) -> DataFrame:
         checked = check_transactions(transaction_rules(df, preset), warehouse.limits)
-        return checked.withColumn(DAY, F.to_date("date"))
+        return checked.withColumn(PERIOD, warehouse.period_of(F.col("date")))
 
     staged, counts = _stage(
         landed, lambda df: first_per_key(parse_transactions(df), "transactionid"), check, path
     )
-    # One row per day and reason: what the merge has to touch, without a look at the rows.
-    day = F.when(F.col(REASON).isNull(), F.col(DAY)).cast("string")
+    # One row per period and reason: what the merge has to touch, without a look at the rows.
+    period = F.when(F.col(REASON).isNull(), F.col(PERIOD)).cast("string")
     key = F.col("transactionid")
-    summary = staged.groupBy(day.alias(DAY), REASON).agg(
+    summary = staged.groupBy(period.alias(PERIOD), REASON).agg(
         F.count("*").alias("n"), F.min(key).alias("first"), F.max(key).alias("last")
     )
     result = _Batch(staged, accepted(staged), 0, counts)
     groups = [row for row in summary.collect() if _tally(counts, row)]
     if groups:
         result.size = sum(row["n"] for row in groups)
-        result.days = [row[DAY] for row in groups]
+        result.periods = {row[PERIOD] for row in groups}
         result.first_key = min(row["first"] for row in groups)
         result.last_key = max(row["last"] for row in groups)
     return result
@@ -275,64 +277,58 @@ def _write_rejects(
 def _merge_transactions(
     warehouse: Warehouse, before: list[Entry], batch: _Batch, version: int
 ) -> tuple[list[Entry], DataFrame]:
-    """Rewrite the days the batch touches: those of its rows and of the versions they replace.
+    """Rewrite the periods the batch touches: those of its rows and of the versions they replace.
 
-    Returns the day folders of the new version and the replaced transaction versions.
+    Returns the period folders of the new version and the replaced transaction versions.
     """
-    stored = warehouse.days(before)
+    key, entries = "transactionid", warehouse.periods(before)
+    stored = warehouse.read_periods(entries)
     if not batch.size:
-        return stored, warehouse.read_days([])
-    old_days = _days_of_known_keys(warehouse.read_days(stored), batch) if stored else set()
-    known = [e for e in stored if _day_name(e) in old_days]
-    touched = [e for e in stored if _day_name(e) in old_days | set(batch.days)]
+        return entries, stored.limit(0)
+    known = _periods_of_known_keys(stored, batch) if entries else set()
+    replaced = matched(_within(stored, known), batch.rows, key, batch.size)
+    _count_changes(batch, replaced)
 
-    replaced = matched(warehouse.read_days(known), batch.rows, "transactionid", batch.size)
-    tally = replaced.agg(
-        F.count("*").alias("found"), F.count_if(F.col("changed")).alias("changed")
-    ).first()
-    batch.counts.inserted = batch.size - tally["found"]
-    batch.counts.updated = tally["changed"]
-    batch.counts.unchanged = tally["found"] - tally["changed"]
-
-    written = warehouse.write_days(_by_day(warehouse.read_days(touched), batch), version)
-    gone = {e.path for e in touched}
-    return [e for e in stored if e.path not in gone] + written, replaced
+    touched = known | batch.periods
+    merged = _by_period(_within(stored, touched), batch)
+    written = warehouse.write_periods(merged, version)
+    return [e for e in entries if _name(e) not in touched] + written, replaced
 
 
-def _by_day(stored: DataFrame, batch: _Batch) -> DataFrame:
-    """The upserted rows, laid out for a write by day.
+def _by_period(stored: DataFrame, batch: _Batch) -> DataFrame:
+    """The upserted rows, laid out for a write by period.
 
-    Rebalancing splits a hot day over several tasks and packs small ones together. The stored
-    rows lie by day already: where a small batch spares them the shuffle of the join, only
-    the batch is rebalanced.
+    Rebalancing splits a hot period over several tasks and packs small ones together. The
+    stored rows lie by period already: where a small batch spares them the shuffle of the
+    join, only the batch is rebalanced.
     """
-    day, key = F.col(DAY), "transactionid"
+    period, key = F.col(PERIOD), "transactionid"
     if batch.size <= BROADCAST_KEYS:
-        return upsert(stored, batch.rows.hint("rebalance", day), key, batch.size)
-    return upsert(stored, batch.rows, key).hint("rebalance", day)
+        return upsert(stored, batch.rows.hint("rebalance", period), key, batch.size)
+    return upsert(stored, batch.rows, key).hint("rebalance", period)
 
 
-def _days_of_known_keys(stored: DataFrame, batch: _Batch) -> set[str | None]:
-    """The stored days that hold a key of the batch, from the key column alone."""
+def _periods_of_known_keys(stored: DataFrame, batch: _Batch) -> set[str | None]:
+    """The stored periods that hold a key of the batch, from the key column alone."""
     key = F.col("transactionid")
     in_range = stored.where(key.between(batch.first_key, batch.last_key))
     keys = sized(batch.rows.select("transactionid"), batch.size)
     found = in_range.join(keys, "transactionid", "left_semi")
-    return {r[0] for r in found.select(F.col(DAY).cast("string")).distinct().collect()}
+    return {r[0] for r in found.select(F.col(PERIOD).cast("string")).distinct().collect()}
 
 
-def _day_name(entry: Entry) -> str | None:
-    return None if entry.date is None else entry.day
+def _within(stored: DataFrame, periods: set[str | None]) -> DataFrame:
+    """The rows of some periods: a filter on the folders, so no other folder is read."""
+    starts = [F.lit(p).cast("date") for p in sorted(periods - {None})]
+    wanted = F.col(PERIOD).isin(*starts) if starts else F.lit(False)
+    return stored.where(wanted | F.col(PERIOD).isNull() if None in periods else wanted)
 
 
-def _days_from(days: list[Entry], mark: datetime | None) -> list[Entry]:
-    """Day folders that can hold a date after the mark; rows without a date never count."""
-    first: date | None = None if mark is None else mark.date()
-    return [e for e in days if first is not None and e.date is not None and e.date >= first]
+def _name(entry: Entry) -> str | None:
+    return None if entry.start is None else entry.period
 
 
-def _count_users(stored: DataFrame, batch: _Batch) -> None:
-    pairs = matched(stored, batch.rows, "userid", batch.size)
+def _count_changes(batch: _Batch, pairs: DataFrame) -> None:
     tally = pairs.agg(
         F.count("*").alias("found"), F.count_if(F.col("changed")).alias("changed")
     ).first()

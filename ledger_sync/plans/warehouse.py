@@ -1,14 +1,14 @@
 """Versioned Parquet tables that are published together.
 
 Each load writes its tables under new ``v=<n>`` folders and, last, one manifest
-that names the current folder of every table and day. Readers follow the newest
+that names the current folder of every table and period. Readers follow the newest
 complete manifest, so a load that fails midway changes nothing. One writer at a time.
 
-    <root>/users/v=3/...                     whole table
-    <root>/transactions/v=3/day=2024-08-21/  days rewritten by version 3
-    <root>/updatemetadata/v=3/...            whole table
-    <root>/rejects/v=3/...                   quarantined rows of the batch
-    <root>/manifest/v=3/...                  (version, batch, table, day, path)
+    <root>/users/v=3/...                         whole table
+    <root>/transactions/v=3/period=2024-08-21/   periods rewritten by version 3
+    <root>/updatemetadata/v=3/...                whole table
+    <root>/rejects/v=3/...                       quarantined rows of the batch
+    <root>/manifest/v=3/...                      (version, batch, table, period, path)
 """
 
 from __future__ import annotations
@@ -16,37 +16,50 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from ledger_sync.operators.balance import control_row, moment
 from ledger_sync.schemas import (
     CONTROL_ID, DEFAULT_LIMITS, METADATA, SEED_WATERMARK, TRANSACTIONS, USERS, Limits,
 )
 
-DAY = "day"
+PERIOD = "period"
+_PERIODS = ("day", "month", "year")
 REJECTS = "rejects"
-_NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
-_MANIFEST_SCHEMA = "version bigint, batch string, table string, day string, path string"
+_NULL_PERIOD = "__HIVE_DEFAULT_PARTITION__"
+_MANIFEST_SCHEMA = "version bigint, batch string, table string, period string, path string"
 
 
 @dataclass(frozen=True)
 class Entry:
-    """Where one table, or one day of transactions, currently lies below the root."""
+    """Where one table, or one period of transactions, currently lies below the root."""
 
     table: str
     path: str
-    day: str | None = None
+    period: str | None = None
 
     @property
-    def date(self) -> date | None:
-        return None if self.day in (None, _NULL_DAY) else date.fromisoformat(self.day)
+    def start(self) -> date | None:
+        """The first day of the period; transactions without a date have none."""
+        return None if self.period in (None, _NULL_PERIOD) else date.fromisoformat(self.period)
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, limits: Limits = DEFAULT_LIMITS) -> None:
+    """``period`` is the unit that an upsert rewrites: choose it so that one holds some GB."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        limits: Limits = DEFAULT_LIMITS,
+        period: str = "day",
+    ) -> None:
+        if period not in _PERIODS:
+            raise ValueError(f"period must be one of {', '.join(_PERIODS)}: {period}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.limits = limits
+        self.period = period
 
     def init(self, watermark: datetime | str | None = SEED_WATERMARK) -> Warehouse:
         """Create empty tables and the control row, unless a version exists already."""
@@ -75,9 +88,9 @@ class Warehouse:
         return max(self._versions(complete=False), default=-1) + 1
 
     def entries(self) -> list[Entry]:
-        """The published folders: two whole tables and one per day of transactions."""
+        """The published folders: two whole tables and one per period of transactions."""
         rows = self._manifests([self._published()]).collect()
-        return [Entry(r["table"], r["path"], r["day"]) for r in rows]
+        return [Entry(r["table"], r["path"], r["period"]) for r in rows]
 
     def has_batch(self, batch: str) -> bool:
         """Whether any version was published for this batch."""
@@ -85,7 +98,7 @@ class Warehouse:
 
     def publish(self, version: int, entries: list[Entry], batch: str | None = None) -> None:
         """Make a version current. Writing the same version twice is an error."""
-        rows = [(version, batch, e.table, e.day, e.path) for e in entries]
+        rows = [(version, batch, e.table, e.period, e.path) for e in entries]
         manifest = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
         # The marker of a complete folder is what readers look for.
         writer = manifest.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
@@ -105,11 +118,11 @@ class Warehouse:
         return None if row is None else row[0]
 
     def transactions(self, since: date | None = None) -> DataFrame:
-        """All transactions, or those of the days from ``since`` on."""
-        days = self.days(self.entries())
+        """All transactions, or those of the periods that reach ``since`` or a later day."""
+        periods = self.periods(self.entries())
         if since is not None:
-            days = [e for e in days if e.date is not None and e.date >= since]
-        return self.read_days(days).drop(DAY)
+            periods = self.periods_from(periods, since)
+        return self.read_periods(periods).drop(PERIOD)
 
     def rejects(self) -> DataFrame:
         """The quarantined rows of all published loads, with the version ``v`` of the load."""
@@ -120,17 +133,28 @@ class Warehouse:
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{REJECTS}")
         return reader.parquet(*[f"{self.root}/{r['path']}" for r in found])
 
-    def days(self, entries: list[Entry]) -> list[Entry]:
+    def periods(self, entries: list[Entry]) -> list[Entry]:
         return [e for e in entries if e.table == TRANSACTIONS]
 
-    def read_days(self, days: list[Entry]) -> DataFrame:
-        """The transactions of the given day folders, with their ``day``."""
-        schema = self.limits.transactions().add(DAY, "date")
-        if not days:
-            return self.spark.createDataFrame([], _nullable(schema))
-        reader = self.spark.read.schema(_nullable(schema))
+    def periods_from(self, periods: list[Entry], since: date) -> list[Entry]:
+        """The periods that can hold a date on or after ``since``."""
+        first = since
+        if self.period != "day":
+            first = since.replace(day=1) if self.period == "month" else date(since.year, 1, 1)
+        return [e for e in periods if e.start is not None and e.start >= first]
+
+    def period_of(self, moment: Column) -> Column:
+        """The first day of the period a transaction belongs to; null without a date."""
+        return F.to_date(moment) if self.period == "day" else F.trunc(moment, self.period)
+
+    def read_periods(self, periods: list[Entry]) -> DataFrame:
+        """The transactions of the given folders, with their ``period``."""
+        schema = _nullable(self.limits.transactions().add(PERIOD, "date"))
+        if not periods:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema)
         reader = reader.option("basePath", f"{self.root}/{TRANSACTIONS}")
-        return reader.parquet(*[f"{self.root}/{e.path}" for e in days]).select(*schema.names)
+        return reader.parquet(*[f"{self.root}/{e.path}" for e in periods]).select(*schema.names)
 
     # Writing
 
@@ -139,12 +163,13 @@ class Warehouse:
         self._overwrite(df).parquet(f"{self.root}/{path}")
         return Entry(table, path)
 
-    def write_days(self, df: DataFrame, version: int) -> list[Entry]:
-        """Write transactions into one folder per day and list the days that have rows."""
+    def write_periods(self, df: DataFrame, version: int) -> list[Entry]:
+        """Write transactions into one folder per period and list the periods that have rows."""
         path = f"{TRANSACTIONS}/v={version}"
-        self._overwrite(df).partitionBy(DAY).parquet(f"{self.root}/{path}")
-        folders = [p.getName() for p in find_paths(self.spark, f"{self.root}/{path}/{DAY}=*")]
-        return [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(f"{DAY}=")) for f in folders]
+        self._overwrite(df).partitionBy(PERIOD).parquet(f"{self.root}/{path}")
+        folders = [p.getName() for p in find_paths(self.spark, f"{self.root}/{path}/{PERIOD}=*")]
+        prefix = f"{PERIOD}="
+        return [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
 
     # Files
 
@@ -163,11 +188,11 @@ class Warehouse:
             return self.spark.createDataFrame([], _MANIFEST_SCHEMA)
         return self.spark.read.schema(_MANIFEST_SCHEMA).json(paths)
 
-    def _whole(self, table: str, schema) -> DataFrame:
+    def _whole(self, table: str, schema: T.StructType) -> DataFrame:
         (entry,) = [e for e in self.entries() if e.table == table]
         return self.spark.read.schema(_nullable(schema)).parquet(f"{self.root}/{entry.path}")
 
-    def _overwrite(self, df: DataFrame):
+    def _overwrite(self, df: DataFrame) -> DataFrameWriter:
         # An unpublished folder may hold what a failed load left behind: replace it whole.
         return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
 
@@ -193,7 +218,5 @@ def _file_system(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _nullable(schema):
-    for field in schema.fields:
-        field.nullable = True
-    return schema
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])

@@ -115,7 +115,7 @@ def test_missing_control_row(spark, tmp_path, full):
     assert warehouse.watermark() is None
 
 
-def test_only_touched_days_are_rewritten(spark, warehouse, users_csv, txns_csv):
+def test_only_touched_periods_are_rewritten(spark, warehouse, users_csv, txns_csv):
     users = users_csv("1,Ann,1234567890,0")
     first = txns_csv(
         "1,1,1,credit,2024-08-21 10:00:00,completed,card",
@@ -129,12 +129,12 @@ def test_only_touched_days_are_rewritten(spark, warehouse, users_csv, txns_csv):
         "4,1,40,credit,2024-08-23 11:00:00,completed,card",
     )
     run_batch(spark, users, moved, warehouse, run_ts=RUN_2)
-    paths = {e.day: e.path for e in warehouse.days(warehouse.entries())}
-    # The moved rows were the only ones of their old days: those folders are gone.
+    paths = {e.period: e.path for e in warehouse.periods(warehouse.entries())}
+    # The moved rows were the only ones of their old periods: those folders are gone.
     assert paths == {
-        "2024-08-22": "transactions/v=1/day=2024-08-22",
-        "2024-08-23": "transactions/v=2/day=2024-08-23",
-        "2024-08-25": "transactions/v=2/day=2024-08-25",
+        "2024-08-22": "transactions/v=1/period=2024-08-22",
+        "2024-08-23": "transactions/v=2/period=2024-08-23",
+        "2024-08-25": "transactions/v=2/period=2024-08-25",
     }
     rows = {r["transactionid"]: r["amount"] for r in warehouse.transactions().collect()}
     assert rows == {1: Decimal(10), 2: Decimal(2), 3: Decimal(3), 4: Decimal(40)}
