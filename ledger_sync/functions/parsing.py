@@ -25,8 +25,7 @@ def to_number(text: Column) -> Column:
     A Java type suffix (``1d``) or a hexadecimal float is no number in a CSV file.
     """
     java_literal = text.rlike(r"[0-9.][dDfF]\s*$|[xX]")
-    value = F.when(~java_literal, text).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.when(~java_literal, text).try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_moment(text: Column) -> Column:

@@ -16,19 +16,19 @@ def moment(value: datetime | str | None) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def completed_since(transactions: DataFrame, watermark: datetime | str | None) -> DataFrame:
+def completed_since(
+    transactions: DataFrame, watermark: datetime | str | None, completed: str = "completed"
+) -> DataFrame:
     """Completed transactions dated strictly after the mark; no mark selects nothing."""
-    return transactions.where(
-        (F.col("status") == "completed") & (F.col("date") > moment(watermark))
-    )
+    return transactions.where((F.col("status") == completed) & (F.col("date") > moment(watermark)))
 
 
 def transaction_summaries(
-    transactions: DataFrame, watermark: datetime | str | None
+    transactions: DataFrame, watermark: datetime | str | None, completed: str = "completed"
 ) -> DataFrame:
     """Credits and debits of each user that has a qualifying transaction."""
-    kind, amount = F.col("type"), F.col("amount")
-    return credit_debit_totals(completed_since(transactions, watermark), "userid", kind, amount)
+    recent = completed_since(transactions, watermark, completed)
+    return credit_debit_totals(recent, "userid", F.col("type"), F.col("amount"))
 
 
 def credit_debit_totals(df: DataFrame, user: str, kind: Column, amount: Column) -> DataFrame:
@@ -54,20 +54,22 @@ def refresh_balances(
     transactions: DataFrame,
     watermark: datetime | str | None,
     money: str = DEFAULT_LIMITS.money,
+    completed: str = "completed",
 ) -> DataFrame:
-    return apply_summaries(users, transaction_summaries(transactions, watermark), money)
+    summaries = transaction_summaries(transactions, watermark, completed)
+    return apply_summaries(users, summaries, money)
 
 
-def net_changes(batch: DataFrame, replaced: DataFrame) -> DataFrame:
+def net_changes(batch: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
     """Per user, what a batch of new versions adds and the versions it replaces take back.
 
     A transaction that moves to another user takes from the one and gives to the other.
     """
     value = contribution(F.col("status"), F.col("type"), F.col("amount"))
-    both = batch.select("userid", value.alias("net")).unionByName(
-        replaced.select("userid", (-value).alias("net"))
-    )
-    known = both.where(F.col("userid").isNotNull() & F.col("net").isNotNull())
+    parts = batch.select("userid", value.alias("net"))
+    if replaced is not None:
+        parts = parts.unionByName(replaced.select("userid", (-value).alias("net")))
+    known = parts.where(F.col("userid").isNotNull() & F.col("net").isNotNull())
     return known.groupBy("userid").agg(F.sum("net").alias("net"))
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Up to this many counted keys a key set is sent to every executor (some 100 MB there);
-# beyond it the join shuffles.
+# Up to this many counted keys, or whole rows, a batch is sent to every executor. The length
+# checks bound a row to some 700 bytes, so either stays below 200 MB; beyond it joins shuffle.
 BROADCAST_KEYS = 2_000_000
+BROADCAST_ROWS = 250_000
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, batch_rows: int | None = None) -> DataFrame:
@@ -15,13 +16,13 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, batch_rows: int | None
     ``batch_rows``, where it has been counted, lets a small batch spare the target its shuffle.
     """
     incoming = batch.select(*target.columns)
-    keys = sized(incoming.select(key), batch_rows)
+    keys = sized(incoming.select(key), batch_rows, BROADCAST_KEYS)
     return target.join(keys, key, "left_anti").unionByName(incoming)
 
 
-def sized(df: DataFrame, rows: int | None) -> DataFrame:
+def sized(df: DataFrame, rows: int | None, limit: int) -> DataFrame:
     """Broadcast only what was counted and is small; else the planner decides."""
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_KEYS else df
+    return F.broadcast(df) if rows is not None and rows <= limit else df
 
 
 def change_classes(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -45,7 +46,7 @@ def matched(
     values = _others(target, key)
     new = batch.select(key, F.struct(*values).alias("_new"))
     changed = ~F.struct(*values).eqNullSafe(F.col("_new"))
-    pairs = target.join(sized(new, batch_rows), key)
+    pairs = target.join(sized(new, batch_rows, BROADCAST_ROWS), key)
     return pairs.select(*target.columns, changed.alias("changed"))
 
 

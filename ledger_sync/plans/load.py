@@ -244,7 +244,7 @@ def _part_orphans(
     n_ids = ids.count()
     if not n_ids:
         return None
-    ids = sized(ids, n_ids)
+    ids = sized(ids, n_ids, BROADCAST_KEYS)
     taken = orphans(txns.rows, ids)
     n_taken = taken.count()
     txns.counts.rejected[ORPHAN] = n_taken
@@ -276,7 +276,7 @@ def _write_rejects(
 
 def _merge_transactions(
     warehouse: Warehouse, before: list[Entry], batch: _Batch, version: int
-) -> tuple[list[Entry], DataFrame]:
+) -> tuple[list[Entry], DataFrame | None]:
     """Rewrite the periods the batch touches: those of its rows and of the versions they replace.
 
     Returns the period folders of the new version and the replaced transaction versions.
@@ -284,7 +284,7 @@ def _merge_transactions(
     key, entries = "transactionid", warehouse.periods(before)
     stored = warehouse.read_periods(entries)
     if not batch.size:
-        return entries, stored.limit(0)
+        return entries, None
     known = _periods_of_known_keys(stored, batch) if entries else set()
     replaced = matched(_within(stored, known), batch.rows, key, batch.size)
     _count_changes(batch, replaced)
@@ -312,7 +312,7 @@ def _periods_of_known_keys(stored: DataFrame, batch: _Batch) -> set[str | None]:
     """The stored periods that hold a key of the batch, from the key column alone."""
     key = F.col("transactionid")
     in_range = stored.where(key.between(batch.first_key, batch.last_key))
-    keys = sized(batch.rows.select("transactionid"), batch.size)
+    keys = sized(batch.rows.select("transactionid"), batch.size, BROADCAST_KEYS)
     found = in_range.join(keys, "transactionid", "left_semi")
     return {r[0] for r in found.select(F.col(PERIOD).cast("string")).distinct().collect()}
 

@@ -60,6 +60,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.limits = limits
         self.period = period
+        self._known: dict[int, list[Entry]] = {}
 
     def init(self, watermark: datetime | str | None = SEED_WATERMARK) -> Warehouse:
         """Create empty tables and the control row, unless a version exists already."""
@@ -89,8 +90,11 @@ class Warehouse:
 
     def entries(self) -> list[Entry]:
         """The published folders: two whole tables and one per period of transactions."""
-        rows = self._manifests([self._published()]).collect()
-        return [Entry(r["table"], r["path"], r["period"]) for r in rows]
+        version = self._published()
+        if version not in self._known:  # a manifest never changes once it is published
+            rows = self._manifests([version]).collect()
+            self._known = {version: [Entry(r["table"], r["path"], r["period"]) for r in rows]}
+        return list(self._known[version])
 
     def has_batch(self, batch: str) -> bool:
         """Whether any version was published for this batch."""

@@ -7,6 +7,7 @@ transactions. A batch re-sends one status of orders changed and brings all event
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -146,7 +147,14 @@ def users_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transactions_of(spark: SparkSession, folder: str) -> DataFrame:
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    status = F.col("status")
+    named = F.when(status == "F", "completed").when(status == "O", "pending").otherwise("failed")
+    return coded_transactions_of(spark, folder).withColumn("status", named)
+
+
+def coded_transactions_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as transactions under their own status codes, which a scan can filter by."""
+    priority = F.col("o_orderpriority")
     return _read(spark, folder, "orders").select(
         F.col("o_orderkey").alias("transactionid"),
         F.col("o_custkey").alias("userid"),
@@ -156,10 +164,7 @@ def transactions_of(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("transfer")
         .alias("type"),
         F.col("o_orderdate").alias("date"),
-        F.when(status == "F", "completed")
-        .when(status == "O", "pending")
-        .otherwise("failed")
-        .alias("status"),
+        F.col("o_orderstatus").alias("status"),
         priority.alias("method"),
     )
 
@@ -239,16 +244,14 @@ SELECT c_custkey AS userid,
             - COALESCE(total_debits, 0) AS DECIMAL(22,2)) AS balance
 FROM customer LEFT JOIN ts ON c_custkey = ts.userid""")
 def balance_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    users = _opening_balances(spark, folder)
-    return refresh_balances(users, transactions_of(spark, folder), MARK, WIDE_MONEY)
+    return _refreshed(spark, folder, MARK)
 
 
 @query("""
 SELECT c_custkey AS userid,
        CAST(CAST(c_acctbal AS DECIMAL(10,2)) AS DECIMAL(22,2)) AS balance FROM customer""")
 def balance_refresh_null_watermark(spark: SparkSession, folder: str) -> DataFrame:
-    users = _opening_balances(spark, folder)
-    return refresh_balances(users, transactions_of(spark, folder), None, WIDE_MONEY)
+    return _refreshed(spark, folder, None)
 
 
 @query(f"""
@@ -264,11 +267,16 @@ SELECT c_custkey AS userid,
 FROM customer LEFT JOIN ts ON c_custkey = ts.userid""")
 def balance_refresh_stored_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """The mark is looked up in a control table first and then filters as a literal."""
-    transactions = transactions_of(spark, folder)
+    failed = coded_transactions_of(spark, folder).where(F.col("status") == "P")
     last = F.max("date") - F.expr("INTERVAL 365 DAY")
-    control = transactions.where(F.col("status") == "failed").agg(last.alias("last_update_date"))
+    control = failed.agg(last.alias("last_update_date"))
     mark = control_row(control.select(F.lit(1).alias("id"), "last_update_date")).first()[0]
-    return refresh_balances(_opening_balances(spark, folder), transactions, mark, WIDE_MONEY)
+    return _refreshed(spark, folder, mark)
+
+
+def _refreshed(spark: SparkSession, folder: str, mark: datetime | str | None) -> DataFrame:
+    users, transactions = _opening_balances(spark, folder), coded_transactions_of(spark, folder)
+    return refresh_balances(users, transactions, mark, WIDE_MONEY, completed="F")
 
 
 def _opening_balances(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,7 +289,7 @@ SELECT userid, SUM(CASE WHEN type = 'credit' THEN amount ELSE 0 END) AS total_cr
        SUM(CASE WHEN type = 'debit' THEN amount ELSE 0 END) AS total_debits
 FROM txns WHERE status = 'completed' AND date > TIMESTAMP '{MARK}' GROUP BY userid""")
 def completed_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    return transaction_summaries(transactions_of(spark, folder), MARK)
+    return transaction_summaries(coded_transactions_of(spark, folder), MARK, completed="F")
 
 
 @query("""
@@ -306,8 +314,8 @@ FROM users u LEFT JOIN (
 def late_correction(spark: SparkSession, folder: str) -> DataFrame:
     """Balances moved by a batch of corrections equal balances computed from all rows anew."""
     stored, batch = transactions_of(spark, folder), transaction_batch_of(spark, folder)
-    first = net_changes(stored, stored.limit(0))
-    before = apply_net_changes(_opening_balances(spark, folder), first, WIDE_MONEY)
+    opening = _opening_balances(spark, folder)
+    before = apply_net_changes(opening, net_changes(stored), WIDE_MONEY)
     changes = net_changes(batch, matched(stored, batch, "transactionid"))
     return apply_net_changes(before, changes, WIDE_MONEY)
 
@@ -607,10 +615,15 @@ WHERE t.userid IS NOT NULL AND NOT EXISTS (
   SELECT 1 FROM users u
   WHERE u.userid = t.userid AND regexp_full_match(u.contact, '[0-9]{{10}}'))""")
 def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    """Dropping users with an invalid contact leaves transactions without a user."""
-    users = contact_drop(spark, folder)
+    """Dropping users with an invalid contact leaves transactions without a user.
+
+    As in a load, the orphan ids are written first: a join of their file with the transactions
+    is broadcast where the file is small, and else split by the planner where a user is hot.
+    """
     transactions = transactions_of(spark, folder).select("transactionid", "userid")
-    return orphans(transactions, orphan_userids(transactions, users))
+    path = scratch_path(spark, "orphans")
+    orphan_userids(transactions, contact_drop(spark, folder)).write.parquet(path)
+    return orphans(transactions, spark.read.schema("userid bigint").parquet(path))
 
 
 @query(f"""

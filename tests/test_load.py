@@ -142,14 +142,26 @@ def test_only_touched_periods_are_rewritten(spark, warehouse, users_csv, txns_cs
     assert sorted(r[0] for r in since.select("transactionid").collect()) == [1, 3, 4]
 
 
-def test_large_batches_take_the_shuffling_way(spark, warehouse, full, increment, monkeypatch):
-    monkeypatch.setattr(load, "BROADCAST_KEYS", 0)
-    monkeypatch.setattr("ledger_sync.operators.merge.BROADCAST_KEYS", 0)
-    run_batch(spark, *full, warehouse, run_ts=RUN_1)
-    run_batch(spark, *increment, warehouse, run_ts=RUN_2)
-    run_batch(spark, *full, warehouse, run_ts=RUN_2)
+@pytest.mark.parametrize("way", ["since_watermark", "net_changes"])
+def test_large_batches_take_the_shuffling_way(
+    spark, warehouse, full, increment, monkeypatch, way
+):
+    monkeypatch.setattr(load, "BROADCAST_KEYS", -1)
+    monkeypatch.setattr("ledger_sync.operators.merge.BROADCAST_KEYS", -1)
+    monkeypatch.setattr("ledger_sync.operators.merge.BROADCAST_ROWS", -1)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        run_batch(spark, *full, warehouse, run_ts=RUN_1, balances=way)
+        report = run_batch(spark, *increment, warehouse, run_ts=RUN_2, balances=way)
+        run_batch(spark, *full, warehouse, run_ts=RUN_2, balances=way)
+    finally:
+        spark.conf.unset(threshold)
+    assert report.transactions.rejected == {ORPHAN: 1}
     assert warehouse.transactions().count() == 25
-    assert balances(warehouse)[100] == Decimal("1500.75")
+    expected = golden.FULL_BALANCES if way == "net_changes" else golden.FILE_BALANCES
+    stored = balances(warehouse)
+    assert {u: stored[u] for u in expected} == money(expected)
 
 
 def test_failure_midway_publishes_nothing(spark, warehouse, full, monkeypatch):
