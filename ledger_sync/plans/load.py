@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from ledger_sync.operators.balance import (
@@ -114,8 +116,15 @@ def load_batch(
         return Report(warehouse.version(), skipped=True)
 
     with _staging(warehouse.spark) as staging:
-        user_batch = _stage_users(warehouse, users, preset, f"{staging}/users")
-        txn_batch = _stage_transactions(warehouse, transactions, preset, f"{staging}/transactions")
+        with ThreadPoolExecutor(2) as pool:  # the two extracts do not depend on each other
+            staged = [
+                pool.submit(inheritable_thread_target(warehouse.spark)(stage), *inputs)
+                for stage, *inputs in (
+                    (_stage_users, warehouse, users, preset, f"{staging}/users"),
+                    (_stage_transactions, warehouse, transactions, preset, f"{staging}/txns"),
+                )
+            ]
+            user_batch, txn_batch = [job.result() for job in staged]
         stored_users = warehouse.users()
         orphan_rows = _part_orphans(warehouse, stored_users, user_batch, txn_batch, staging)
         if policy == "fail":

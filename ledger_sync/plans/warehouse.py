@@ -16,18 +16,35 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledger_sync.operators.balance import control_row, moment
 from ledger_sync.schemas import (
-    CONTROL_ID, DEFAULT_LIMITS, METADATA, SEED_WATERMARK, TRANSACTIONS, USERS, Limits,
+    CONTROL_ID, DEFAULT_LIMITS, METADATA, REASON, RECORD, SEED_WATERMARK, TRANSACTIONS, USERS,
+    Limits,
 )
 
 PERIOD = "period"
 _PERIODS = ("day", "month", "year")
 REJECTS = "rejects"
 _NULL_PERIOD = "__HIVE_DEFAULT_PARTITION__"
-_MANIFEST_SCHEMA = "version bigint, batch string, table string, period string, path string"
+_MANIFEST = (
+    T.StructType()
+    .add("version", T.LongType())
+    .add("batch", T.StringType())
+    .add("table", T.StringType())
+    .add("period", T.StringType())
+    .add("path", T.StringType())
+)
+_REJECTS = (
+    T.StructType()
+    .add("table", T.StringType())
+    .add(REASON, T.StringType())
+    .add(RECORD, T.StringType())
+    .add("v", T.LongType())
+)
 
 
 @dataclass(frozen=True)
@@ -67,7 +84,7 @@ class Warehouse:
         if self.version() is not None:
             return self
         version = self.next_version()
-        users = self.spark.createDataFrame([], self.limits.users())
+        users = _empty(self.spark, self.limits.users())
         metadata = self.spark.range(0 if watermark is None else 1).select(
             F.lit(CONTROL_ID).alias("id"), moment(watermark).alias("last_update_date")
         )
@@ -103,7 +120,9 @@ class Warehouse:
     def publish(self, version: int, entries: list[Entry], batch: str | None = None) -> None:
         """Make a version current. Writing the same version twice is an error."""
         rows = [(version, batch, e.table, e.period, e.path) for e in entries]
-        manifest = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
+        columns = dict(zip(_MANIFEST.names, zip(*rows)))
+        table = pa.table(columns, schema=to_arrow_schema(_MANIFEST))
+        manifest = self.spark.createDataFrame(table).coalesce(1)
         # The marker of a complete folder is what readers look for.
         writer = manifest.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         writer.mode("error").json(f"{self.root}/manifest/v={version}")
@@ -130,11 +149,10 @@ class Warehouse:
 
     def rejects(self) -> DataFrame:
         """The quarantined rows of all published loads, with the version ``v`` of the load."""
-        schema = "table string, reject_reason string, reject_record string, v bigint"
         found = self._history().where(F.col("table") == REJECTS).select("path").collect()
         if not found:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{REJECTS}")
+            return _empty(self.spark, _REJECTS)
+        reader = self.spark.read.schema(_REJECTS).option("basePath", f"{self.root}/{REJECTS}")
         return reader.parquet(*[f"{self.root}/{r['path']}" for r in found])
 
     def periods(self, entries: list[Entry]) -> list[Entry]:
@@ -155,7 +173,7 @@ class Warehouse:
         """The transactions of the given folders, with their ``period``."""
         schema = _nullable(self.limits.transactions().add(PERIOD, "date"))
         if not periods:
-            return self.spark.createDataFrame([], schema)
+            return _empty(self.spark, schema)
         reader = self.spark.read.schema(schema)
         reader = reader.option("basePath", f"{self.root}/{TRANSACTIONS}")
         return reader.parquet(*[f"{self.root}/{e.path}" for e in periods]).select(*schema.names)
@@ -189,8 +207,8 @@ class Warehouse:
     def _manifests(self, versions: list[int]) -> DataFrame:
         paths = [f"{self.root}/manifest/v={v}" for v in versions]
         if not paths:
-            return self.spark.createDataFrame([], _MANIFEST_SCHEMA)
-        return self.spark.read.schema(_MANIFEST_SCHEMA).json(paths)
+            return _empty(self.spark, _MANIFEST)
+        return self.spark.read.schema(_MANIFEST).json(paths)
 
     def _whole(self, table: str, schema: T.StructType) -> DataFrame:
         (entry,) = [e for e in self.entries() if e.table == table]
@@ -222,5 +240,11 @@ def _file_system(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, which the planner can see."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where(F.lit(False)).select(*columns)
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])

@@ -24,7 +24,7 @@ from ledger_sync.operators.parse import null_tokens, parse_transactions, parse_u
 from ledger_sync.operators.validate import (
     accepted, check_transactions, check_users, orphan_userids, orphans,
 )
-from ledger_sync.plans.load import load_batch, run_batch
+from ledger_sync.plans.load import run_batch
 from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.schemas import (
     DAG, NA_TOKENS, REASON, SCRIPT, SCRIPT_CAPPED, TRANSACTION_COLUMNS, TRANSACTION_FILLS,
@@ -663,11 +663,11 @@ def constraint_rejects_transactions(spark: SparkSession, folder: str) -> DataFra
 def _load_extracts(
     warehouse: Warehouse, users: DataFrame, transactions: DataFrame, folder: str, **options
 ) -> None:
-    users_path = _write_extract(users, ["userid"], f"{folder}/users")
-    transactions_path = _write_extract(
-        _as_text(transactions), ["transactionid"], f"{folder}/transactions"
-    )
-    run_batch(warehouse.spark, users_path, transactions_path, warehouse, **options)
+    paths = []
+    for name, df in (("users", users), ("transactions", _as_text(transactions))):
+        paths.append(f"{folder}/{name}")
+        df.write.option("header", True).option("escape", '"').csv(paths[-1])
+    run_batch(warehouse.spark, *paths, warehouse, **options)
 
 
 # Both loads refresh; the second starts from the balances the files bring (or that are stored)

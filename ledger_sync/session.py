@@ -32,9 +32,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     The cluster's ``spark.checkpoint.dir`` is used as it is. Only where no
     checkpoint folder is set, as in tests, is one made on the local machine.
     """
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         root = tempfile.mkdtemp(prefix="ledger-sync-")
-        context.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
