@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-from ledger_sync.schemas import DATE_PATTERN, NA_TOKENS
+from ledger_sync.schemas import DATE_PATTERN, NA_TOKENS, NUMBER_PATTERN, WHOLE_PATTERN
 
 
 def null_if_token(text: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
@@ -16,18 +16,19 @@ def null_if_token(text: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
 
 def to_whole(text: Column) -> Column:
     """64-bit whole number."""
-    return text.try_cast("bigint")
+    return _where(text, WHOLE_PATTERN).try_cast("bigint")
 
 
 def to_number(text: Column) -> Column:
-    """Double. NaN becomes null, as Spark ranks NaN above every number.
-
-    A Java type suffix (``1d``) or a hexadecimal float is no number in a CSV file.
-    """
-    java_literal = text.rlike(r"[0-9.][dDfF]\s*$|[xX]")
-    return F.nanvl(F.when(~java_literal, text).try_cast("double"), F.lit(None).cast("double"))
+    """Double; never NaN, which Spark ranks above every number."""
+    return _where(text, NUMBER_PATTERN).try_cast("double")
 
 
 def to_moment(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` without zone; any other form, also a bare date, is null."""
-    return F.when(text.rlike(DATE_PATTERN), text).try_cast("timestamp_ntz")
+    return _where(text, DATE_PATTERN).try_cast("timestamp_ntz")
+
+
+def _where(text: Column, pattern: str) -> Column:
+    """Only text of the right form gets to a cast: a failing one costs an exception per row."""
+    return F.when(text.rlike(pattern), text)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledger_sync.operators.parse import first_failure
@@ -10,34 +13,33 @@ from ledger_sync.schemas import (
 )
 
 ORPHAN = "userid is not in users"
+_INTEGER_BITS = {"smallint": 16, "int": 32, "bigint": 64}
 
 
 def check_users(users: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Cast to the warehouse types; rows that break a constraint get a reason."""
-    userid, balance = F.col("userid"), F.col("balance")
     return _typed(
         users,
         USER_COLUMNS,
         {"userid": limits.key_type, "balance": limits.money},
-        ("userid is null", userid.isNull()),
-        ("userid is out of range", _overflow(userid, limits.key_type)),
+        ("userid is null", F.col("userid").isNull()),
+        ("userid is out of range", _overflow(users, "userid", limits.key_type)),
         ("name is too long", F.length("name") > limits.name_length),
         ("contact is too long", F.length("contact") > limits.text_length),
-        ("balance is out of range", _overflow(balance, limits.money)),
+        ("balance is out of range", _overflow(users, "balance", limits.money)),
     )
 
 
 def check_transactions(transactions: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    key, userid, amount = F.col("transactionid"), F.col("userid"), F.col("amount")
     types = {"transactionid": limits.key_type, "userid": limits.key_type, "amount": limits.money}
     return _typed(
         transactions,
         TRANSACTION_SINK_COLUMNS,
         types,
-        ("transactionid is null", key.isNull()),
-        ("transactionid is out of range", _overflow(key, limits.key_type)),
-        ("userid is out of range", _overflow(userid, limits.key_type)),
-        ("amount is out of range", _overflow(amount, limits.money)),
+        ("transactionid is null", F.col("transactionid").isNull()),
+        ("transactionid is out of range", _overflow(transactions, "transactionid", limits.key_type)),
+        ("userid is out of range", _overflow(transactions, "userid", limits.key_type)),
+        ("amount is out of range", _overflow(transactions, "amount", limits.money)),
         ("type is too long", F.length("type") > limits.text_length),
         ("status is too long", F.length("status") > limits.text_length),
         ("method is too long", F.length("method") > limits.text_length),
@@ -82,8 +84,23 @@ def as_record(columns: tuple[str, ...]) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-def _overflow(value: Column, target: str) -> Column:
-    return value.isNotNull() & value.try_cast(target).isNull()
+def _overflow(df: DataFrame, column: str, target: str) -> Column:
+    return F.col(column).isNotNull() & ~_fits(df, column, target)
+
+
+def _fits(df: DataFrame, column: str, target: str) -> Column:
+    """Whether a value survives its cast. Bounds are compared where they can be, as a
+    failing cast costs an exception per row."""
+    value = F.col(column)
+    if target in _INTEGER_BITS:
+        bound = 2 ** (_INTEGER_BITS[target] - 1)
+        return value.between(-bound, bound - 1)
+    digits = re.fullmatch(r"decimal\((\d+),(\d+)\)", target)
+    if digits and dict(df.dtypes)[column] == "double":
+        precision, scale = map(int, digits.groups())
+        # From half a unit below the next power of ten on, a value is rounded up to it.
+        return F.abs(value) < float(Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1))
+    return value.try_cast(target).isNotNull()
 
 
 def _typed(
@@ -93,7 +110,11 @@ def _typed(
     record = F.col(RECORD) if RECORD in df.columns else F.lit(None).cast("string")
     reason = first_failure(earlier, *checks)
     return df.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in columns],
+        *[
+            F.when(_fits(df, c, types[c]), F.col(c)).cast(types[c]).alias(c)
+            if c in types else F.col(c)
+            for c in columns
+        ],
         reason.alias(REASON),
         F.coalesce(record, F.when(reason.isNotNull(), as_record(columns))).alias(RECORD),
     )

@@ -30,6 +30,13 @@ TRANSACTION_FILLS = {
 }
 INVALID_CONTACT = "not provided"
 
+# The forms of a whole and of a decimal number in a CSV extract.
+WHOLE_PATTERN = r"^\s*[+-]?[0-9]{1,19}\s*$"
+NUMBER_PATTERN = (
+    r"(?i)^\s*[+-]?(?:[0-9]+\.?[0-9]*(?:e[+-]?[0-9]+)?|\.[0-9]+(?:e[+-]?[0-9]+)?"
+    r"|inf(?:inity)?)\s*$"
+)
+
 # A contact is ten decimal digits of any script; a date is a full timestamp.
 # (?U) makes \d match Unicode digits, (?d) makes $ accept a trailing \n only.
 CONTACT_PATTERN = r"(?Ud)^\d{10}$"
