@@ -6,7 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-from ledger_sync.schemas import DATE_PATTERN, NA_TOKENS, NUMBER_PATTERN, WHOLE_PATTERN
+from ledger_sync.schemas import (
+    DATE_PATTERN, FIRST_DATE, LAST_DATE, NA_TOKENS, NUMBER_PATTERN, WHOLE_PATTERN,
+)
 
 
 def null_if_token(text: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
@@ -15,8 +17,8 @@ def null_if_token(text: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
 
 
 def to_whole(text: Column) -> Column:
-    """64-bit whole number."""
-    return _where(text, WHOLE_PATTERN).try_cast("bigint")
+    """64-bit whole number, also one that is written with zero decimals (``7.0``)."""
+    return F.substring_index(_where(text, WHOLE_PATTERN), ".", 1).try_cast("bigint")
 
 
 def to_number(text: Column) -> Column:
@@ -29,6 +31,12 @@ def to_moment(text: Column) -> Column:
     return _where(text, DATE_PATTERN).try_cast("timestamp_ntz")
 
 
+def countable(moment: Column) -> Column:
+    """Null outside the dates that nanoseconds can count."""
+    first, last = (F.lit(t).cast("timestamp_ntz") for t in (FIRST_DATE, LAST_DATE))
+    return F.when(moment.between(first, last), moment)
+
+
 def _where(text: Column, pattern: str) -> Column:
     """Only text of the right form gets to a cast: a failing one costs an exception per row."""
     return F.when(text.rlike(pattern), text)

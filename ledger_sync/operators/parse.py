@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledger_sync.functions.parsing import null_if_token, to_moment, to_number, to_whole
+from ledger_sync.functions.parsing import (
+    countable, null_if_token, to_moment, to_number, to_whole,
+)
 from ledger_sync.schemas import (
     FILE_ORDER, RECORD, REASON, TRANSACTION_COLUMNS, USER_COLUMNS,
 )
@@ -18,56 +20,56 @@ def null_tokens(df: DataFrame, columns: Sequence[str], **tokens) -> DataFrame:
 
 
 def parse_users(landed: DataFrame) -> DataFrame:
-    text = null_tokens(landed, USER_COLUMNS)
-    userid, balance = to_whole(F.col("userid")), to_number(F.col("balance"))
-    return text.select(
-        userid.alias("userid"),
-        "name",
-        "contact",
-        balance.alias("balance"),
-        *FILE_ORDER,
-        *_rejects(
-            USER_COLUMNS,
-            ("userid is missing or no whole number", userid.isNull()),
-            ("balance is no number", _unparsed("balance", balance)),
-        ),
+    return _parse(
+        landed,
+        USER_COLUMNS,
+        {"userid": to_whole, "balance": to_number},
+        ("userid is missing or no whole number", _missing("userid")),
+        ("balance is no number", _unparsed("balance")),
     )
 
 
 def parse_transactions(landed: DataFrame) -> DataFrame:
-    text = null_tokens(landed, TRANSACTION_COLUMNS)
-    key, userid = to_whole(F.col("transactionid")), to_whole(F.col("userid"))
-    amount = to_number(F.col("amount"))
-    return text.select(
-        key.alias("transactionid"),
-        userid.alias("userid"),
-        amount.alias("amount"),
-        "type",
-        to_moment(F.col("date")).alias("date"),
-        "status",
-        "method",
+    return _parse(
+        landed,
+        TRANSACTION_COLUMNS,
+        {"transactionid": to_whole, "userid": to_whole, "amount": to_number, "date": to_moment},
+        ("transactionid is missing or no whole number", _missing("transactionid")),
+        ("userid is no whole number", _unparsed("userid")),
+        ("amount is no number", _unparsed("amount")),
+    ).withColumn("date", countable(F.col("date")))
+
+
+def _parse(
+    landed: DataFrame,
+    columns: Sequence[str],
+    parsers: dict[str, Callable[[Column], Column]],
+    *checks: tuple[str, Column],
+) -> DataFrame:
+    """Values beside their texts, then the first failed check, then the record as it came for
+    rows that fail one. Each step uses the one before more than once, hence the steps."""
+    text = null_tokens(landed, columns)
+    values = text.withColumns({_value(c): parse(F.col(c)) for c, parse in parsers.items()})
+    checked = values.withColumn(REASON, first_failure(F.col(REASON), *checks))
+    as_json = F.when(F.col(REASON).isNotNull(), F.to_json(F.struct(*columns)))
+    return checked.select(
+        *[F.col(_value(c)).alias(c) if c in parsers else c for c in columns],
         *FILE_ORDER,
-        *_rejects(
-            TRANSACTION_COLUMNS,
-            ("transactionid is missing or no whole number", key.isNull()),
-            ("userid is no whole number", _unparsed("userid", userid)),
-            ("amount is no number", _unparsed("amount", amount)),
-        ),
+        REASON,
+        F.coalesce(F.col(RECORD), as_json).alias(RECORD),
     )
 
 
-def _unparsed(column: str, value: Column) -> Column:
-    return F.col(column).isNotNull() & value.isNull()
+def _value(column: str) -> str:
+    return f"_{column}_value"
+
+
+def _missing(column: str) -> Column:
+    return F.col(_value(column)).isNull()
 
 
-def _rejects(columns: Sequence[str], *checks: tuple[str, Column]) -> list[Column]:
-    """First failed check, and the record as it came for rows that fail one."""
-    reason = first_failure(F.col(REASON), *checks)
-    as_json = F.to_json(F.struct(*columns))
-    return [
-        reason.alias(REASON),
-        F.coalesce(F.col(RECORD), F.when(reason.isNotNull(), as_json)).alias(RECORD),
-    ]
+def _unparsed(column: str) -> Column:
+    return F.col(column).isNotNull() & _missing(column)
 
 
 def first_failure(earlier: Column, *checks: tuple[str, Column]) -> Column:

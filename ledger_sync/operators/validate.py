@@ -108,13 +108,9 @@ def _typed(
 ) -> DataFrame:
     earlier = F.col(REASON) if REASON in df.columns else F.lit(None).cast("string")
     record = F.col(RECORD) if RECORD in df.columns else F.lit(None).cast("string")
-    reason = first_failure(earlier, *checks)
-    return df.select(
-        *[
-            F.when(_fits(df, c, types[c]), F.col(c)).cast(types[c]).alias(c)
-            if c in types else F.col(c)
-            for c in columns
-        ],
-        reason.alias(REASON),
-        F.coalesce(record, F.when(reason.isNotNull(), as_record(columns))).alias(RECORD),
+    checked = df.withColumn(REASON, first_failure(earlier, *checks))
+    as_typed = {c: F.when(_fits(df, c, t), F.col(c)).cast(t).alias(c) for c, t in types.items()}
+    new_record = F.when(F.col(REASON).isNotNull(), as_record(columns))
+    return checked.select(
+        *[as_typed.get(c, c) for c in columns], REASON, F.coalesce(record, new_record).alias(RECORD)
     )

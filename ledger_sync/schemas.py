@@ -31,16 +31,18 @@ TRANSACTION_FILLS = {
 INVALID_CONTACT = "not provided"
 
 # The forms of a whole and of a decimal number in a CSV extract.
-WHOLE_PATTERN = r"^\s*[+-]?[0-9]{1,19}\s*$"
+WHOLE_PATTERN = r"^\s*[+-]?[0-9]{1,19}(?:\.0*)?\s*$"
 NUMBER_PATTERN = (
-    r"(?i)^\s*[+-]?(?:[0-9]+\.?[0-9]*(?:e[+-]?[0-9]+)?|\.[0-9]+(?:e[+-]?[0-9]+)?"
-    r"|inf(?:inity)?)\s*$"
+    r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?))\s*$"
 )
 
-# A contact is ten decimal digits of any script; a date is a full timestamp.
+# A contact is ten decimal digits of any script.
 # (?U) makes \d match Unicode digits, (?d) makes $ accept a trailing \n only.
 CONTACT_PATTERN = r"(?Ud)^\d{10}$"
-DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+# A date is a full timestamp within what 64-bit nanoseconds can count.
+DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z"
+FIRST_DATE, LAST_DATE = "1677-09-21 00:12:44", "2262-04-11 23:47:16"
 
 # The control row and the high-water mark of a fresh warehouse.
 CONTROL_ID = 1
