@@ -131,7 +131,7 @@ def load_batch(
             _abort_on_rejects(user_batch.counts, txn_batch.counts)
 
         version = warehouse.next_version()
-        rejects = _write_rejects(warehouse, version, user_batch, txn_batch, orphan_rows)
+        _write_rejects(warehouse, version, user_batch, txn_batch, orphan_rows)
         before = warehouse.entries()
         periods, replaced = _merge_transactions(warehouse, before, txn_batch, version)
         pairs = matched(stored_users, user_batch.rows, "userid", user_batch.size)
@@ -154,7 +154,6 @@ def load_batch(
             warehouse.write_whole(USERS, refreshed, version),
             warehouse.write_whole(METADATA, metadata, version),
             *periods,
-            *rejects,
         ]
         warehouse.publish(version, entries, batch)
     return Report(version, user_batch.counts, txn_batch.counts, warehouse.watermark())
@@ -274,13 +273,13 @@ def _abort_on_rejects(*tables: Counts) -> None:
 
 def _write_rejects(
     warehouse: Warehouse, version: int, users: _Batch, txns: _Batch, orphan_rows: DataFrame | None
-) -> list[Entry]:
+) -> None:
     if not users.counts.rejected and not txns.counts.rejected:
-        return []
+        return
     rows = rejected(users.staged, USERS).unionByName(rejected(txns.staged, TRANSACTIONS))
     if orphan_rows is not None:
         rows = rows.unionByName(orphan_rows)
-    return [warehouse.write_whole(REJECTS, rows, version)]
+    warehouse.write_whole(REJECTS, rows, version)
 
 
 def _merge_transactions(

@@ -2,22 +2,24 @@
 
 Each load writes its tables under new ``v=<n>`` folders and, last, one manifest
 that names the current folder of every table and period. Readers follow the newest
-complete manifest, so a load that fails midway changes nothing. One writer at a time.
+complete manifest, so a load that fails midway changes nothing: its number is not
+used again. One writer at a time.
 
     <root>/users/v=3/...                         whole table
     <root>/transactions/v=3/period=2024-08-21/   periods rewritten by version 3
     <root>/updatemetadata/v=3/...                whole table
     <root>/rejects/v=3/...                       quarantined rows of the batch
-    <root>/manifest/v=3/...                      (version, batch, table, period, path)
+    <root>/manifest/v=3[-<batch digest>]/...     (batch, layout, table, period, path)
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import date, datetime
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledger_sync.operators.balance import control_row, moment
@@ -32,8 +34,8 @@ REJECTS = "rejects"
 _NULL_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = (
     T.StructType()
-    .add("version", T.LongType())
     .add("batch", T.StringType())
+    .add("layout", T.StringType())
     .add("table", T.StringType())
     .add("period", T.StringType())
     .add("path", T.StringType())
@@ -77,6 +79,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.limits = limits
         self.period = period
+        self.layout = f"{period}, {limits.key_type}, {limits.money}"
         self._known: dict[int, list[Entry]] = {}
 
     def init(self, watermark: datetime | str | None = SEED_WATERMARK) -> Warehouse:
@@ -99,33 +102,42 @@ class Warehouse:
 
     def version(self) -> int | None:
         """The newest version whose manifest is complete."""
-        versions = self._versions(complete=True)
-        return max(versions, default=None)
+        manifests = self._manifests()
+        newest_first = sorted(manifests, reverse=True)
+        return next((v for v in newest_first if self._is_complete(manifests[v])), None)
 
     def next_version(self) -> int:
-        return max(self._versions(complete=False), default=-1) + 1
+        """A number that no load has used, not even one that failed."""
+        folders = ("manifest", USERS, TRANSACTIONS, METADATA, REJECTS)
+        return max((v for f in folders for v in self._numbered(f)), default=-1) + 1
 
     def entries(self) -> list[Entry]:
         """The published folders: two whole tables and one per period of transactions."""
         version = self._published()
         if version not in self._known:  # a manifest never changes once it is published
-            rows = self._manifests([version]).collect()
+            path = f"{self.root}/manifest/{self._manifests()[version]}"
+            rows = self.spark.read.schema(_MANIFEST).json(path).collect()
+            layouts = {r["layout"] for r in rows}
+            if layouts != {self.layout}:
+                raise ValueError(f"the warehouse has the layout {layouts}, not {self.layout}")
             self._known = {version: [Entry(r["table"], r["path"], r["period"]) for r in rows]}
         return list(self._known[version])
 
     def has_batch(self, batch: str) -> bool:
         """Whether any version was published for this batch."""
-        return not self._history().where(F.col("batch") == batch).isEmpty()
+        ending = _batch_ending(batch)
+        return any(n.endswith(ending) and self._is_complete(n) for n in self._manifests().values())
 
     def publish(self, version: int, entries: list[Entry], batch: str | None = None) -> None:
-        """Make a version current. Writing the same version twice is an error."""
-        rows = [(version, batch, e.table, e.period, e.path) for e in entries]
+        """Make a version current. The digest of the batch in the name lets a listing find it."""
+        rows = [(batch, self.layout, e.table, e.period, e.path) for e in entries]
         columns = dict(zip(_MANIFEST.names, zip(*rows)))
         table = pa.table(columns, schema=to_arrow_schema(_MANIFEST))
         manifest = self.spark.createDataFrame(table).coalesce(1)
         # The marker of a complete folder is what readers look for.
         writer = manifest.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        writer.mode("error").json(f"{self.root}/manifest/v={version}")
+        name = f"v={version}{_batch_ending(batch)}"
+        writer.mode("error").json(f"{self.root}/manifest/{name}")
 
     # Reading
 
@@ -149,11 +161,12 @@ class Warehouse:
 
     def rejects(self) -> DataFrame:
         """The quarantined rows of all published loads, with the version ``v`` of the load."""
-        found = self._history().where(F.col("table") == REJECTS).select("path").collect()
+        manifests, written = self._manifests(), self._numbered(REJECTS)
+        found = [v for v in written if v in manifests and self._is_complete(manifests[v])]
         if not found:
             return _empty(self.spark, _REJECTS)
         reader = self.spark.read.schema(_REJECTS).option("basePath", f"{self.root}/{REJECTS}")
-        return reader.parquet(*[f"{self.root}/{r['path']}" for r in found])
+        return reader.parquet(*[f"{self.root}/{REJECTS}/v={v}" for v in found])
 
     def periods(self, entries: list[Entry]) -> list[Entry]:
         return [e for e in entries if e.table == TRANSACTIONS]
@@ -182,15 +195,14 @@ class Warehouse:
 
     def write_whole(self, table: str, df: DataFrame, version: int) -> Entry:
         path = f"{table}/v={version}"
-        self._overwrite(df).parquet(f"{self.root}/{path}")
+        df.write.parquet(f"{self.root}/{path}")
         return Entry(table, path)
 
     def write_periods(self, df: DataFrame, version: int) -> list[Entry]:
         """Write transactions into one folder per period and list the periods that have rows."""
-        path = f"{TRANSACTIONS}/v={version}"
-        self._overwrite(df).partitionBy(PERIOD).parquet(f"{self.root}/{path}")
-        folders = [p.getName() for p in find_paths(self.spark, f"{self.root}/{path}/{PERIOD}=*")]
-        prefix = f"{PERIOD}="
+        path, prefix = f"{TRANSACTIONS}/v={version}", f"{PERIOD}="
+        df.write.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
+        folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
         return [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
 
     # Files
@@ -201,33 +213,31 @@ class Warehouse:
             raise RuntimeError(f"no published warehouse at {self.root}; call init() first")
         return version
 
-    def _history(self) -> DataFrame:
-        return self._manifests(self._versions(complete=True))
+    def _manifests(self) -> dict[int, str]:
+        """Manifest folder names by version, complete or not, from one listing."""
+        return self._numbered("manifest")
 
-    def _manifests(self, versions: list[int]) -> DataFrame:
-        paths = [f"{self.root}/manifest/v={v}" for v in versions]
-        if not paths:
-            return _empty(self.spark, _MANIFEST)
-        return self.spark.read.schema(_MANIFEST).json(paths)
+    def _is_complete(self, manifest: str) -> bool:
+        return path_exists(self.spark, f"{self.root}/manifest/{manifest}/_SUCCESS")
+
+    def _numbered(self, folder: str) -> dict[int, str]:
+        names = [n for n in list_names(self.spark, f"{self.root}/{folder}") if n.startswith("v=")]
+        return {int(n.removeprefix("v=").split("-")[0]): n for n in names}
 
     def _whole(self, table: str, schema: T.StructType) -> DataFrame:
         (entry,) = [e for e in self.entries() if e.table == table]
         return self.spark.read.schema(_nullable(schema)).parquet(f"{self.root}/{entry.path}")
 
-    def _overwrite(self, df: DataFrame) -> DataFrameWriter:
-        # An unpublished folder may hold what a failed load left behind: replace it whole.
-        return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
 
-    def _versions(self, complete: bool) -> list[int]:
-        found = find_paths(self.spark, f"{self.root}/manifest/v=*{'/_SUCCESS' if complete else ''}")
-        folders = [p.getParent() if complete else p for p in found]
-        return [int(f.getName().removeprefix("v=")) for f in folders]
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, on any file system Spark can reach; none if there is no folder."""
+    folder, files = _file_system(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
 
-def find_paths(spark: SparkSession, pattern: str) -> list:
-    """Paths that match a pattern, on any file system Spark can reach."""
-    folder, files = _file_system(spark, pattern)
-    return [status.getPath() for status in files.globStatus(folder) or []]
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location, files = _file_system(spark, path)
+    return files.exists(location)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -240,6 +250,10 @@ def _file_system(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _batch_ending(batch: str | None) -> str:
+    return "" if batch is None else f"-{hashlib.sha256(batch.encode()).hexdigest()[:32]}"
+
+
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, which the planner can see."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
