@@ -112,6 +112,8 @@ def load_batch(
         raise ValueError(f"policy must be fail or quarantine: {policy}")
     if balances not in ("since_watermark", "net_changes"):
         raise ValueError(f"balances must be since_watermark or net_changes: {balances}")
+    if warehouse.spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled: else a balance that overflows becomes null")
     if batch is not None and warehouse.has_batch(batch):
         return Report(warehouse.version(), skipped=True)
 

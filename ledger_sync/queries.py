@@ -43,7 +43,7 @@ ORACLES: dict[str, str] = {}
 WIDE_MONEY = "decimal(22,2)"
 WIDE = Limits(key_type="bigint", money=WIDE_MONEY)
 MARK = "1998-01-01 00:00:00"
-LATER_MARK = "2000-01-01 00:00:00"
+LATER_MARK, LAST_MARK = "2000-01-01 00:00:00", "2025-01-01 00:00:00"
 LINE_CAP = Preset("lines", max_amount=50000.0)
 
 
@@ -434,7 +434,7 @@ SELECT event_id, TRY_CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS number,
 FROM events""")
 def coerce_types(spark: SparkSession, folder: str) -> DataFrame:
     """Text that is no number or no full timestamp becomes null."""
-    kind, ts = F.col("event_type"), F.col("ts")
+    kind, second = F.col("event_type"), _to_second(F.col("ts"))
     text = F.col("value").cast("string")
     return _read(spark, folder, "events").select(
         "event_id",
@@ -443,9 +443,9 @@ def coerce_types(spark: SparkSession, folder: str) -> DataFrame:
             "amount"
         ),
         to_moment(
-            F.when(kind == "view", F.date_format(ts, "yyyy-MM-dd"))
-            .when(kind == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-            .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+            F.when(kind == "view", F.substring(second, 1, 10))
+            .when(kind == "click", F.replace(second, F.lit(" "), F.lit("T")))
+            .otherwise(second)
         ).alias("date"),
     )
 
@@ -525,7 +525,12 @@ def _as_text(df: DataFrame) -> DataFrame:
     """Dates in the form of an extract."""
     if "date" not in df.columns:
         return df
-    return df.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+    return df.withColumn("date", _to_second(F.col("date")))
+
+
+def _to_second(moment: Column) -> Column:
+    """The text ``yyyy-MM-dd HH:mm:ss`` of a zoneless timestamp, in any session time zone."""
+    return F.substring(moment.cast("string"), 1, 19)
 
 
 @query(f"""{_TWICE_SQL}
@@ -699,13 +704,14 @@ second_net AS (
   FROM merged WHERE status = 'completed' AND date > TIMESTAMP '{LATER_MARK}' GROUP BY userid)"""
 
 
-def _two_loads(spark: SparkSession, folder: str) -> Warehouse:
+def _two_loads(spark: SparkSession, folder: str, **options) -> Warehouse:
     base = scratch_path(spark, "loads")
     warehouse = Warehouse(spark, f"{base}/warehouse", WIDE, "month").init(MARK)
     users, transactions = users_of(spark, folder), transactions_of(spark, folder)
-    _load_extracts(warehouse, users, transactions, f"{base}/first", run_ts=LATER_MARK)
+    first, second = {"run_ts": LATER_MARK, **options}, {"run_ts": LAST_MARK, **options}
+    _load_extracts(warehouse, users, transactions, f"{base}/first", **first)
     more_users, more = user_batch_of(spark, folder), transaction_batch_of(spark, folder)
-    _load_extracts(warehouse, more_users, more, f"{base}/second", run_ts="2025-01-01 00:00:00")
+    _load_extracts(warehouse, more_users, more, f"{base}/second", **second)
     return warehouse
 
 
@@ -727,6 +733,44 @@ def load_batch_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return _two_loads(spark, folder).transactions()
 
 
+@query(f"""
+WITH {USERS_SQL}, {TXNS_SQL}, {EVENTS_SQL}, {BATCH_SQL}, {MERGED_SQL}, {USER_BATCH_SQL},
+known AS (
+  SELECT userid, name, contact, balance FROM users u
+  WHERE NOT EXISTS (SELECT 1 FROM user_batch b WHERE b.userid = u.userid)
+  UNION ALL
+  SELECT b.userid, COALESCE(b.name, 'unknown'), b.contact, COALESCE(u.balance, b.balance)
+  FROM user_batch b LEFT JOIN users u ON u.userid = b.userid)
+SELECT k.userid, name,
+       CASE WHEN regexp_full_match(contact, '[0-9]{{10}}') THEN contact
+       ELSE 'not provided' END AS contact,
+       CAST(CAST(balance AS DECIMAL(10,2)) + COALESCE(net, 0) AS DECIMAL(22,2)) AS balance
+FROM known k LEFT JOIN (
+  SELECT userid, SUM(CASE type WHEN 'credit' THEN amount WHEN 'debit' THEN -amount END) AS net
+  FROM merged WHERE status = 'completed' GROUP BY userid) s ON k.userid = s.userid""")
+def load_batch_net_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Users after two loads that keep balances and move them by what each batch changes."""
+    return _two_loads(spark, folder, balances="net_changes").users()
+
+
+@query(f"""
+WITH {USERS_SQL}, {TXNS_SQL}
+SELECT 'transactions' AS "table", 'userid is not in users' AS reject_reason,
+       transactionid, userid, amount
+FROM txns t WHERE amount <= 400000 AND NOT EXISTS (
+  SELECT 1 FROM users u
+  WHERE u.userid = t.userid AND regexp_full_match(u.contact, '[0-9]{{10}}'))""")
+def load_batch_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load puts in quarantine where users with an invalid contact are dropped."""
+    base = scratch_path(spark, "rejects")
+    warehouse = Warehouse(spark, f"{base}/warehouse", WIDE, "month").init()
+    preset = Preset("orders", contact_policy="drop", max_amount=400000.0)
+    users, transactions = users_of(spark, folder), transactions_of(spark, folder)
+    _load_extracts(warehouse, users, transactions, f"{base}/first", preset=preset)
+    record = F.from_json("reject_record", "transactionid bigint, userid bigint, amount decimal(10,2)")
+    return warehouse.rejects().select("table", REASON, record.alias("r")).select("table", REASON, "r.*")
+
+
 @query(f"""
 WITH {EVENTS_SQL}
 SELECT c_custkey AS userid,

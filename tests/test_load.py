@@ -212,6 +212,18 @@ def test_balance_overflow_publishes_nothing(spark, warehouse, users_csv, txns_cs
     assert warehouse.version() == 0
 
 
+def test_options_are_checked(spark, warehouse, full):
+    for option in ({"policy": "ignore"}, {"balances": "none"}):
+        with pytest.raises(ValueError, match="must be"):
+            run_batch(spark, *full, warehouse, **option)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            run_batch(spark, *full, warehouse)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_a_published_batch_is_skipped(spark, warehouse, full):
     run_batch(spark, *full, warehouse, run_ts=RUN_1, batch="day-1")
     report = run_batch(spark, *full, warehouse, run_ts=RUN_2, batch="day-1")
