@@ -142,10 +142,13 @@ class Warehouse:
     # Reading
 
     def users(self) -> DataFrame:
-        return self._whole(USERS, self.limits.users())
+        return self.read_users(self._entry(USERS))
+
+    def read_users(self, entry: Entry) -> DataFrame:
+        return self._read(entry, self.limits.users())
 
     def metadata(self) -> DataFrame:
-        return self._whole(METADATA, self.limits.metadata())
+        return self._read(self._entry(METADATA), self.limits.metadata())
 
     def watermark(self) -> datetime | None:
         """The stored high-water mark: one value, to be used as a literal filter."""
@@ -159,6 +162,12 @@ class Warehouse:
             periods = self.periods_from(periods, since)
         return self.read_periods(periods).drop(PERIOD)
 
+    def create_views(self) -> None:
+        """Let SQL read the current version as users, transactions and updatemetadata."""
+        self.users().createOrReplaceTempView(USERS)
+        self.transactions().createOrReplaceTempView(TRANSACTIONS)
+        self.metadata().createOrReplaceTempView(METADATA)
+
     def rejects(self) -> DataFrame:
         """The quarantined rows of all published loads, with the version ``v`` of the load."""
         manifests, written = self._manifests(), self._numbered(REJECTS)
@@ -199,9 +208,14 @@ class Warehouse:
         return Entry(table, path)
 
     def write_periods(self, df: DataFrame, version: int) -> list[Entry]:
-        """Write transactions into one folder per period and list the periods that have rows."""
+        """Write transactions into one folder per period and list the periods that have rows.
+
+        A write by period sorts by it anyhow; sorting by id as well gives row groups narrow
+        ranges of ids, so that a later upsert can skip those without a key of its batch.
+        """
         path, prefix = f"{TRANSACTIONS}/v={version}", f"{PERIOD}="
-        df.write.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
+        ordered = df.sortWithinPartitions(PERIOD, "transactionid")
+        ordered.write.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
         folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
         return [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
 
@@ -224,8 +238,11 @@ class Warehouse:
         names = [n for n in list_names(self.spark, f"{self.root}/{folder}") if n.startswith("v=")]
         return {int(n.removeprefix("v=").split("-")[0]): n for n in names}
 
-    def _whole(self, table: str, schema: T.StructType) -> DataFrame:
+    def _entry(self, table: str) -> Entry:
         (entry,) = [e for e in self.entries() if e.table == table]
+        return entry
+
+    def _read(self, entry: Entry, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(_nullable(schema)).parquet(f"{self.root}/{entry.path}")
 
 

@@ -45,7 +45,8 @@ def test_second_run_of_the_same_files_resets_balances(spark, warehouse, full):
     run_batch(spark, *full, warehouse, run_ts=RUN_1)
     report = run_batch(spark, *full, warehouse, run_ts=RUN_2)
     assert balances(warehouse) == money(golden.FILE_BALANCES)
-    assert (report.transactions.unchanged, report.transactions.inserted) == (13, 0)
+    assert (report.transactions.updated, report.transactions.inserted) == (13, 0)
+    assert (report.users.updated, report.users.inserted) == (10, 0)
     assert warehouse.transactions().count() == 13
 
 
@@ -88,15 +89,17 @@ def test_late_correction(spark, warehouse, full, users_csv, txns_csv):
         "1001,101,100.00,debit,2024-08-21 11:30:00,completed,bank transfer",
         "1002,103,250.00,credit,2024-08-23 12:45:00,completed,UPI",
         "1008,108,250.00,credit,2024-08-21 20:15:00,failed,wallet",
+        golden.FULL_TXNS[0],
     )
     report = run_batch(
-        spark, users_csv(), late, warehouse, run_ts=RUN_2, balances="net_changes"
+        spark, users_csv(), late, warehouse, run_ts=RUN_2, balances="net_changes", classify=True
     )
     expected = golden.FULL_BALANCES | {
         101: "150.50", 102: "980.00", 103: "3650.25", 108: "150.00",
     }
     assert balances(warehouse) == money(expected)
-    assert report.transactions.updated == 3
+    counts = report.transactions
+    assert (counts.updated, counts.unchanged, counts.inserted) == (3, 1, 0)
     assert warehouse.transactions().count() == 13
     assert repeated_keys(warehouse.transactions(), "transactionid").isEmpty()
 
@@ -108,6 +111,17 @@ def test_date_equal_to_the_mark_is_not_counted(spark, warehouse, users_csv, txns
     assert balances(warehouse) == {1: Decimal("100.00")}
 
 
+def test_tables_can_be_queried_with_sql(spark, warehouse, full):
+    run_batch(spark, *full, warehouse, run_ts=RUN_1)
+    warehouse.create_views()
+    (row,) = spark.sql("""
+        SELECT u.name, sum(t.amount) AS total, max(m.last_update_date) AS mark
+        FROM users u JOIN transactions t ON u.userid = t.userid CROSS JOIN updatemetadata m
+        WHERE t.type = 'credit' AND t.status = 'completed' AND u.userid = 104
+        GROUP BY u.name""").collect()
+    assert tuple(row) == ("Eva", Decimal(3000), RUN_1)
+
+
 def test_missing_control_row(spark, tmp_path, full):
     warehouse = Warehouse(spark, str(tmp_path / "unmarked")).init(watermark=None)
     run_batch(spark, *full, warehouse, run_ts=RUN_1)

@@ -18,6 +18,7 @@ from ledger_sync.queries import (
 )
 from ledger_sync.schemas import TRANSACTION_COLUMNS
 from ledger_sync.sources.extracts import read_csv_extract
+from pyspark.sql import functions as F
 from tests import golden
 
 DATA = "/root/testdata/sf0.001"
@@ -83,6 +84,15 @@ def test_small_batch_spares_the_stored_rows_their_shuffle(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_periods_are_written_in_the_order_of_ids(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    rows = transactions_of(spark, DATA).withColumn("period", F.to_date("date"))
+    warehouse.write_periods(rows.where("date < timestamp_ntz '1995-01-10 00:00:00'"), 0)
+    (first, *_) = sorted((tmp_path / "wh/transactions/v=0").glob("period=*/*.parquet"))
+    ids = [r[0] for r in spark.read.parquet(str(first)).select("transactionid").collect()]
+    assert ids == sorted(ids)
+
+
 def test_untouched_periods_are_not_read(spark, tmp_path, users_csv, txns_csv):
     """The folder of a day that a later load does not touch can be gone."""
     warehouse = Warehouse(spark, str(tmp_path / "wh")).init()
