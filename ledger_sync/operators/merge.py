@@ -21,8 +21,11 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, batch_rows: int | None
 
 
 def sized(df: DataFrame, rows: int | None, limit: int) -> DataFrame:
-    """Broadcast only what was counted and is small; else the planner decides."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df
+    """Broadcast what was counted and is small; shuffle what was counted and is not, as the
+    planner only sees compressed file sizes. What was not counted is left to the planner."""
+    if rows is None:
+        return df
+    return F.broadcast(df) if rows <= limit else df.hint("merge")
 
 
 def change_classes(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

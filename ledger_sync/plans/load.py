@@ -320,7 +320,7 @@ def _by_period(stored: DataFrame, batch: _Batch) -> DataFrame:
     period, key = F.col(PERIOD), "transactionid"
     if batch.size <= BROADCAST_KEYS:
         return upsert(stored, batch.rows.hint("rebalance", period), key, batch.size)
-    return upsert(stored, batch.rows, key).hint("rebalance", period)
+    return upsert(stored, batch.rows, key, batch.size).hint("rebalance", period)
 
 
 def _periods_of_known_keys(stored: DataFrame, batch: _Batch) -> set[str | None]:

@@ -163,14 +163,16 @@ def test_large_batches_take_the_shuffling_way(
     monkeypatch.setattr(load, "BROADCAST_KEYS", -1)
     monkeypatch.setattr("ledger_sync.operators.merge.BROADCAST_KEYS", -1)
     monkeypatch.setattr("ledger_sync.operators.merge.BROADCAST_ROWS", -1)
+    options = {"balances": way, "classify": True}
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(threshold, "-1")
     try:
-        run_batch(spark, *full, warehouse, run_ts=RUN_1, balances=way)
-        report = run_batch(spark, *increment, warehouse, run_ts=RUN_2, balances=way)
-        run_batch(spark, *full, warehouse, run_ts=RUN_2, balances=way)
+        run_batch(spark, *full, warehouse, run_ts=RUN_1, **options)
+        report = run_batch(spark, *increment, warehouse, run_ts=RUN_2, **options)
+        again = run_batch(spark, *full, warehouse, run_ts=RUN_2, **options)
     finally:
         spark.conf.unset(threshold)
+    assert (again.transactions.unchanged, again.transactions.accepted) == (13, 13)
     assert report.transactions.rejected == {ORPHAN: 1}
     assert warehouse.transactions().count() == 25
     expected = golden.FULL_BALANCES if way == "net_changes" else golden.FILE_BALANCES

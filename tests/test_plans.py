@@ -84,6 +84,12 @@ def test_small_batch_spares_the_stored_rows_their_shuffle(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_large_batch_is_never_broadcast(spark):
+    stored, batch = transactions_of(spark, DATA), transaction_batch_of(spark, DATA)
+    text = plan(upsert(stored, batch, "transactionid", batch_rows=2_000_001))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
 def test_periods_are_written_in_the_order_of_ids(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     rows = transactions_of(spark, DATA).withColumn("period", F.to_date("date"))
