@@ -10,7 +10,9 @@ BROADCAST_KEYS = 2_000_000
 BROADCAST_ROWS = 250_000
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str, batch_rows: int | None = None) -> DataFrame:
+def upsert(
+    target: DataFrame, batch: DataFrame, key: str, batch_rows: int | None = None
+) -> DataFrame:
     """Insert new keys; replace known ones whole, also by null values.
 
     ``batch_rows``, where it has been counted, lets a small batch spare the target its shuffle.

@@ -31,14 +31,15 @@ def check_users(users: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
 
 
 def check_transactions(transactions: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    types = {"transactionid": limits.key_type, "userid": limits.key_type, "amount": limits.money}
+    key_type = limits.key_type
+    types = {"transactionid": key_type, "userid": key_type, "amount": limits.money}
     return _typed(
         transactions,
         TRANSACTION_SINK_COLUMNS,
         types,
         ("transactionid is null", F.col("transactionid").isNull()),
-        ("transactionid is out of range", _overflow(transactions, "transactionid", limits.key_type)),
-        ("userid is out of range", _overflow(transactions, "userid", limits.key_type)),
+        ("transactionid is out of range", _overflow(transactions, "transactionid", key_type)),
+        ("userid is out of range", _overflow(transactions, "userid", key_type)),
         ("amount is out of range", _overflow(transactions, "amount", limits.money)),
         ("type is too long", F.length("type") > limits.text_length),
         ("status is too long", F.length("status") > limits.text_length),
@@ -99,7 +100,8 @@ def _fits(df: DataFrame, column: str, target: str) -> Column:
     if digits and dict(df.dtypes)[column] == "double":
         precision, scale = map(int, digits.groups())
         # From half a unit below the next power of ten on, a value is rounded up to it.
-        return F.abs(value) < float(Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1))
+        bound = Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1)
+        return F.abs(value) < float(bound)
     return value.try_cast(target).isNotNull()
 
 

@@ -12,10 +12,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledger_sync.functions.parsing import to_moment, to_number, to_whole
-from ledger_sync.functions.rules import amount_in_range, contribution, is_contact, replace_contact
+from ledger_sync.functions.rules import amount_in_range, is_contact, replace_contact
 from ledger_sync.operators.balance import (
-    advance_watermark, apply_net_changes, apply_summaries, control_row, credit_debit_totals,
-    net_changes, refresh_balances, transaction_summaries,
+    advance_watermark, apply_net_changes, control_row, credit_debit_totals, net_changes,
+    refresh_balances, transaction_summaries,
 )
 from ledger_sync.operators.clean import clean_transactions, clean_users
 from ledger_sync.operators.dedup import keep_first
@@ -755,7 +755,7 @@ def load_batch_net_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
 WITH {USERS_SQL}, {TXNS_SQL}
-SELECT 'transactions' AS "table", 'userid is not in users' AS reject_reason,
+SELECT 'transactions' AS source, 'userid is not in users' AS reject_reason,
        transactionid, userid, amount
 FROM txns t WHERE amount <= 400000 AND NOT EXISTS (
   SELECT 1 FROM users u
@@ -767,8 +767,9 @@ def load_batch_rejects(spark: SparkSession, folder: str) -> DataFrame:
     preset = Preset("orders", contact_policy="drop", max_amount=400000.0)
     users, transactions = users_of(spark, folder), transactions_of(spark, folder)
     _load_extracts(warehouse, users, transactions, f"{base}/first", preset=preset)
-    record = F.from_json("reject_record", "transactionid bigint, userid bigint, amount decimal(10,2)")
-    return warehouse.rejects().select("table", REASON, record.alias("r")).select("table", REASON, "r.*")
+    fields = "transactionid bigint, userid bigint, amount decimal(10,2)"
+    rejects = warehouse.rejects().withColumn("sent", F.from_json("reject_record", fields))
+    return rejects.select(F.col("table").alias("source"), REASON, "sent.*")
 
 
 @query(f"""

@@ -228,6 +228,13 @@ def test_balance_overflow_publishes_nothing(spark, warehouse, users_csv, txns_cs
     assert warehouse.version() == 0
 
 
+@pytest.mark.parametrize("bad", ["x,Bad,1,1", ",Bad,1,1", "2,Bad,1,much", "2,Bad,1,1,1"])
+def test_rows_that_cannot_be_read_fail_the_load(spark, warehouse, users_csv, txns_csv, bad):
+    with pytest.raises(BatchRejected):
+        run_batch(spark, users_csv("1,Ann,1,1", bad), txns_csv(), warehouse, policy="fail")
+    assert warehouse.version() == 0
+
+
 def test_options_are_checked(spark, warehouse, full):
     for option in ({"policy": "ignore"}, {"balances": "none"}):
         with pytest.raises(ValueError, match="must be"):
