@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from ledger_sync.operators.balance import (
     advance_watermark, apply_net_changes, merge_users_keeping_balance, net_changes,
@@ -138,7 +138,8 @@ def load_batch(
         version = warehouse.next_version()
         _write_rejects(warehouse, version, user_batch, txn_batch, orphan_rows)
         before = warehouse.entries()
-        periods, replaced = _merge_transactions(warehouse, before, txn_batch, version, classify)
+        merge = _merge_transactions(warehouse, before, txn_batch, version, classify)
+        periods, current, replaced = merge
         if balances == "net_changes":
             merged = merge_users_keeping_balance(stored_users, user_batch.rows)
             changes = net_changes(txn_batch.rows, replaced)
@@ -147,9 +148,9 @@ def load_batch(
             incoming = user_batch.rows.repartition("userid")
             merged = upsert(stored_users, incoming, "userid", user_batch.size)
             mark = warehouse.watermark()
-            dated = [] if mark is None else warehouse.periods_from(periods, mark.date())
-            recent = warehouse.read_periods(dated)
-            refreshed = refresh_balances(merged, recent, mark, warehouse.limits.money)
+            if mark is not None:  # older periods need not be read
+                current = current.where(F.col(PERIOD) >= F.lit(warehouse.start_of(mark.date())))
+            refreshed = refresh_balances(merged, current, mark, warehouse.limits.money)
 
         metadata = advance_watermark(warehouse.metadata(), run_ts)
         whole = [
@@ -290,24 +291,26 @@ def _write_rejects(
 
 def _merge_transactions(
     warehouse: Warehouse, before: list[Entry], batch: _Batch, version: int, classify: bool
-) -> tuple[list[Entry], DataFrame | None]:
+) -> tuple[list[Entry], DataFrame, DataFrame | None]:
     """Rewrite the periods the batch touches: those of its rows and of the versions they replace.
 
-    Returns the period folders of the new version and the replaced transaction versions.
+    Returns the period folders of the new version, its transactions, and the versions replaced.
     """
     key, entries = "transactionid", warehouse.periods(before)
     stored = warehouse.read_periods(entries)
     if not batch.size:
-        return entries, None
+        return entries, stored, None
     known = _periods_of_known_keys(stored, batch) if entries else set()
     replaced = matched(_within(stored, known), batch.rows, key, batch.size)
     touched = known | batch.periods
     old = _within(stored, touched)
     written = warehouse.write_periods(_by_period(old, batch), version)
-    _count_upserts(batch, old, warehouse.read_periods(written))
+    new = warehouse.read_periods(written)
+    _count_upserts(batch, old, new)
     if classify:
         _count_unchanged(batch, replaced)
-    return [e for e in entries if _name(e) not in touched] + written, replaced
+    current = stored.where(~_is_one_of(touched)).unionByName(new)
+    return [e for e in entries if _name(e) not in touched] + written, current, replaced
 
 
 def _by_period(stored: DataFrame, batch: _Batch) -> DataFrame:
@@ -334,9 +337,13 @@ def _periods_of_known_keys(stored: DataFrame, batch: _Batch) -> set[str | None]:
 
 def _within(stored: DataFrame, periods: set[str | None]) -> DataFrame:
     """The rows of some periods: a filter on the folders, so no other folder is read."""
+    return stored.where(_is_one_of(periods))
+
+
+def _is_one_of(periods: set[str | None]) -> Column:
     starts = [F.lit(p).cast("date") for p in sorted(periods - {None})]
-    wanted = F.col(PERIOD).isin(*starts) if starts else F.lit(False)
-    return stored.where(wanted | F.col(PERIOD).isNull() if None in periods else wanted)
+    listed = F.col(PERIOD).isin(*starts) if starts else F.lit(False)
+    return F.coalesce(listed, F.lit(None in periods))
 
 
 def _name(entry: Entry) -> str | None:

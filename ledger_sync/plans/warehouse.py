@@ -159,7 +159,8 @@ class Warehouse:
         """All transactions, or those of the periods that reach ``since`` or a later day."""
         periods = self.periods(self.entries())
         if since is not None:
-            periods = self.periods_from(periods, since)
+            first = self.start_of(since)
+            periods = [e for e in periods if e.start is not None and e.start >= first]
         return self.read_periods(periods).drop(PERIOD)
 
     def create_views(self) -> None:
@@ -180,12 +181,11 @@ class Warehouse:
     def periods(self, entries: list[Entry]) -> list[Entry]:
         return [e for e in entries if e.table == TRANSACTIONS]
 
-    def periods_from(self, periods: list[Entry], since: date) -> list[Entry]:
-        """The periods that can hold a date on or after ``since``."""
-        first = since
-        if self.period != "day":
-            first = since.replace(day=1) if self.period == "month" else date(since.year, 1, 1)
-        return [e for e in periods if e.start is not None and e.start >= first]
+    def start_of(self, day: date) -> date:
+        """The first day of the period that holds a day."""
+        if self.period == "day":
+            return day
+        return day.replace(day=1) if self.period == "month" else date(day.year, 1, 1)
 
     def period_of(self, moment: Column) -> Column:
         """The first day of the period a transaction belongs to; null without a date."""
