@@ -12,6 +12,7 @@ from .bpe import encode_decode
 from .common import table, text_digest
 from .decontaminate import decontaminate
 from .line_dedup import line_dedup
+from .simhash import simhash_groups
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +108,12 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), tokenizer, limit=1024)
 
 
+@query()
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_groups(documents(spark, folder), shingle=4, max_distance=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 @query()
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
