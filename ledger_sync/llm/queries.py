@@ -12,6 +12,7 @@ from .bpe import encode_decode
 from .common import table, text_digest
 from .decontaminate import decontaminate
 from .line_dedup import line_dedup
+from .quality_classifier import score_quality
 from .simhash import simhash_groups
 from .token_counts import token_counts
 
@@ -102,6 +103,12 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", text_digest(F.col("text")).alias("kept_sha256"))
 
 
+@query()
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    scored = score_quality(documents(spark, folder), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query()
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
