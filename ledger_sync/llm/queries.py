@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from .bpe import encode_decode
 from .common import table, text_digest
 from .decontaminate import decontaminate
+from .license_scan import TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .quality_classifier import score_quality
+from .quality_rules import BASE, CURRENT, ledger, passes
 from .simhash import simhash_groups
 from .token_counts import token_counts
 
@@ -103,6 +105,45 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", text_digest(F.col("text")).alias("kept_sha256"))
 
 
+# Windows of three words by hash join of their text; the rules as they are in the ledger.
+_OP4_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, list_slice(ws, i, i + 2) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d WHERE len(ws) >= 3)),
+again AS (SELECT doc_id, w FROM windows GROUP BY doc_id, w HAVING count(*) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT windows.doc_id, unnest(range(i, i + 3)) AS p FROM windows JOIN again USING (doc_id, w))
+  GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals
+  FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words
+            OR 100 * n_dup_lines > 30 * n_lines OR 2 * n_capitals > word_chars
+            OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words) AS kept
+FROM m"""
+
+
+@query(_OP4_SQL)
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ledger(documents(spark, folder))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rows.select("doc_id", *measures, (~passes(BASE)).alias("base_failed"), passes(CURRENT).alias("kept"))
+
+
 @query()
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     scored = score_quality(documents(spark, folder), table(spark, folder, "labels"))
@@ -126,3 +167,38 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = encode_decode(documents(spark, folder), ranks, public_tokenizers.PATTERN, keep_ids=False)
     return coded.drop("ids")
+
+
+def _op9_sql() -> str:
+    """Each template is tried at each word; what is indexed does not change what is found."""
+    cases = []
+    for t in TEMPLATES:
+        key = f"list_slice(ws, i + {t.key_at + 1}, i + {t.key_at + len(t.key_words)}) = {t.key_words}"
+        share = " + ".join(f"CASE WHEN ws[i + {j + 1}] = '{w}' THEN 1 ELSE 0 END" for j, w in enumerate(t.words))
+        cases.append(
+            f"SELECT doc_id, i, '{t.label}' AS label, {str(t.base).upper()} AS base, ({share}) / {len(t.words)}.0 AS share "
+            f"FROM places WHERE {key} AND ({share}) / {len(t.words)}.0 >= {t.share}"
+        )
+    found = "\n  UNION ALL ".join(cases)
+    return f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+places AS (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM d),
+found AS (
+  {found}),
+sums AS (
+  SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(i) FILTER (WHERE base) AS first_word,
+         max(i) FILTER (WHERE base) AS last_word, max(share) AS score,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(CAST(score AS DOUBLE), 0.0) AS score
+FROM d LEFT JOIN sums s ON s.doc_id = d.doc_id"""
+
+
+@query(_op9_sql())
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(documents(spark, folder)).drop("text")
