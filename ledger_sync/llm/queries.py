@@ -16,6 +16,7 @@ from .line_dedup import line_dedup
 from .quality_classifier import score_quality
 from .quality_rules import BASE, CURRENT, ledger, passes
 from .simhash import simhash_groups
+from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +203,29 @@ FROM d LEFT JOIN sums s ON s.doc_id = d.doc_id"""
 @query(_op9_sql())
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(documents(spark, folder)).drop("text")
+
+
+# Windows are grouped by their words; a word goes if a window that covers it is in a group of two or more.
+_OP10_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 34), ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+again AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM windows WHERE w IN (SELECT w FROM again)),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN removed r ON r.doc_id = d.doc_id"""
+
+
+@query(_OP10_SQL)
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup(documents(spark, folder), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", text_digest(F.col("text")).alias("kept_sha256"))
