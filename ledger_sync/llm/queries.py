@@ -15,6 +15,7 @@ from .license_scan import TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .quality_classifier import score_quality
 from .quality_rules import BASE, CURRENT, ledger, passes
+from .sharding import shard
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
@@ -82,6 +83,11 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard(documents(spark, folder), n_shards=24)
+
+
 _OP3_SQL = f"""
 WITH lines AS (
   SELECT doc_id, i, line,
