@@ -289,18 +289,18 @@ def components(links: DataFrame, scratch: str) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 4, max_distance: int = 4) -> DataFrame:
-    """All columns but the text, and fingerprint, component_id.
+    """All columns but the text, and fingerprint, component_id, component.
 
     Texts are lower-cased (A-Z) and cut at ASCII white space; a text of fewer than ``shingle`` words
     is one shingle, and one of none (null, empty) has the fingerprint 0 and is linked like any other.
-    component_id is the smallest id in the component, null ids left out (null if there is no other).
-    Rows that repeat an id or a text each get their row. Columns called fingerprint or component_id
-    are replaced. No documents give no rows. The fingerprints and the tables of the rounds are
+    component_id is the smallest id in the component, null ids left out (null if there is no other);
+    component is a number that no other component has. Rows that repeat an id or a text each get
+    their row. Columns of these names are replaced. No documents give no rows. The fingerprints and the tables of the rounds are
     written below the shared scratch folder.
     """
     spark: SparkSession = docs.sparkSession
     scratch = scratch_path(spark, "simhash")
-    kept = docs.drop("fingerprint", "component_id", "print", "__component")
+    kept = docs.drop("fingerprint", "component_id", "component", "print")
     prints = _written(fingerprints(kept, shingle), f"{scratch}/prints")
     distinct = prints.groupBy("print").agg(F.min("doc_id").alias("first_id"))
     distinct = _written(distinct, f"{scratch}/distinct")
@@ -310,9 +310,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("__component"))
-    named = rooted.join(smallest, "root").select(F.col("print").alias("__print"), "__component")
+    named = rooted.join(smallest, "root").select(F.col("print").alias("__print"), "__component", "root")
     return prints.join(named, prints["print"] == named["__print"]).select(
         *[c for c in prints.columns if c != "print"],
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         F.col("__component").alias("component_id"),
+        F.col("root").alias("component"),
     )
