@@ -2,9 +2,9 @@
 
 Each text is cut into normalised lines, whose 128-bit hashes go with the document's id through one
 aggregation (combined before its shuffle, so that a line in a third of all documents costs a row a
-task) that counts distinct documents and finds the smallest id. Hashes over the threshold are joined
-back to the lines; a hot hash is a hot key of a plain sort-merge join, which adaptive execution
-splits. What a document has to drop is gathered for each document, and its text is put together
+task) that counts distinct documents and finds the smallest id. Hashes over the threshold are written
+to the shared folder and joined back to the lines: as both sides are then plain shuffles, adaptive
+execution can split a hot hash. What a document has to drop is gathered for each document, and its text is put together
 again from the lines that stay, in their order.
 """
 
@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledger_sync.session import scratch_path
+
 from .common import NO_ID, arrow_schema, as_bytes, blocks, map_batches, map_texts
 
 
@@ -67,7 +69,9 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataF
     repeat an id are one document too. All other columns stay; columns of the input that are called
     n_lines or n_dropped are replaced. No documents give no rows.
     """
-    shared = shared_lines(docs, min_docs, min_chars)
+    path = scratch_path(docs.sparkSession, "shared-lines")
+    shared_lines(docs, min_docs, min_chars).write.parquet(path)
+    shared = docs.sparkSession.read.schema("h binary, first_id long").parquet(path)
     drops = (
         _lines(docs, min_chars)
         .join(shared, "h")
