@@ -73,10 +73,13 @@ def map_batches(
 
 
 def map_texts(
-    docs: DataFrame, columns: list[str], work: Callable[[pa.RecordBatch], dict], schema: str
+    docs: DataFrame,
+    columns: list[str],
+    work: Callable[[pa.RecordBatch], dict],
+    schema: T.StructType | str,
 ) -> DataFrame:
     """Apply ``work`` to blocks of texts. It returns a dict of columns in the order of ``schema``."""
-    fields = T.StructType.fromDDL(schema)
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = arrow_schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

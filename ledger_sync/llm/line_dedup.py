@@ -76,12 +76,12 @@ def line_dedup(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataF
         _lines(docs, min_chars)
         .join(shared, "h")
         .where(F.col("line_id") != F.col("first_id"))
-        .groupBy("line_id")
+        .groupBy(F.col("line_id").alias("__drop_id"))
         .agg(F.collect_set("h").alias("__drop"))
     )
     kept = docs.drop("n_lines", "n_dropped")
     keyed = kept.withColumn("__line_id", F.coalesce("doc_id", F.lit(NO_ID)).cast("long"))
-    joined = keyed.join(drops, keyed["__line_id"] == drops["line_id"], "left")
+    joined = keyed.join(drops, keyed["__line_id"] == drops["__drop_id"], "left")
     counts = T.StructType.fromDDL("n_lines long, n_dropped long")
     schema = T.StructType(kept.schema.fields + counts.fields)
     arrow, names = arrow_schema(schema), kept.columns

@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledger_sync.session import scratch_path
 
@@ -61,8 +62,8 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
         prints = [fingerprint(t, shingle) for t in as_bytes(block.column("text"))]
         return {**{c: block.column(c) for c in rest}, "print": prints}
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    return map_texts(docs, [*rest, "text"], work, ", ".join([*fields, "print long"]))
+    fields = [docs.schema[c] for c in rest]
+    return map_texts(docs, [*rest, "text"], work, T.StructType([*fields, T.StructField("print", T.LongType())]))
 
 
 def choices(open_bits: list[int], max_distance: int) -> list[tuple[int, list[int]]]:
@@ -310,10 +311,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 4, max_distance: int = 4) ->
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("__component"))
-    named = rooted.join(smallest, "root").select(F.col("print").alias("__print"), "__component", "root")
+    named = rooted.join(smallest, "root").select(F.col("print").alias("__print"), "__component", F.col("root").alias("__root"))
     return prints.join(named, prints["print"] == named["__print"]).select(
         *[c for c in prints.columns if c != "print"],
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         F.col("__component").alias("component_id"),
-        F.col("root").alias("component"),
+        F.col("__root").alias("component"),
     )
