@@ -187,11 +187,15 @@ def _op9_sql() -> str:
             f"FROM places WHERE {key} AND ({share}) / {len(t.words)}.0 >= {t.share}"
         )
     found = "\n  UNION ALL ".join(cases)
+    has_key = " OR ".join(f"contains(line, ' {t.key} ')" for t in TEMPLATES)
     return f"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
          '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
-places AS (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM d),
+candidates AS (
+  SELECT doc_id, ws FROM (SELECT doc_id, ws, ' ' || array_to_string(ws, ' ') || ' ' AS line FROM d)
+  WHERE {has_key}),
+places AS (SELECT doc_id, ws, unnest(range(len(ws))) AS i FROM candidates),
 found AS (
   {found}),
 sums AS (
