@@ -17,9 +17,11 @@ removed from them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from struct import unpack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -112,31 +114,29 @@ def _unpacked(column: pa.Array) -> Iterator[bytes]:
 
 
 def _passages(docs: DataFrame, window: int) -> DataFrame:
-    """From (__rid, __rid2, __packed, __runs): passages under repeated runs, windows under hot ones."""
+    """From (__rid, __rid2, __packed, __runs, __hot): passages under runs, windows under hot ones."""
     schema = "hot boolean, key long, key2 long, rid long, rid2 long, at int, words binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "__packed"):
             out: list[tuple] = []
             ids = zip(block.column("__rid").to_pylist(), block.column("__rid2").to_pylist())
-            wanted = block.column("__runs").to_pylist()
-            for (rid, rid2), runs, text in zip(ids, wanted, _unpacked(block.column("__packed"))):
+            wanted = zip(_numbers(block.column("__runs")), _numbers(block.column("__hot")))
+            for (rid, rid2), (runs, hot), text in zip(ids, wanted, _unpacked(block.column("__packed"))):
                 words = text.split()
-                hot = {r["key"]: r["hot"] for r in runs}
-                for key, first, last in zip(*(x.tolist() for x in filed(words, window))):
-                    if key not in hot:
-                        continue
-                    if not hot[key]:
-                        own = b" ".join(words[first : last + window])
-                        out.append((False, key, 0, rid, rid2, first, own))
-                        continue
-                    for at in range(first, last + 1):
+                keys, first, last = filed(words, window)
+                chosen = np.isin(keys, runs)
+                for key, a, b in zip(*(x[chosen].tolist() for x in (keys, first, last))):
+                    out.append((False, key, 0, rid, rid2, a, b" ".join(words[a : b + window])))
+                chosen = np.isin(keys, hot)
+                for a, b in zip(first[chosen].tolist(), last[chosen].tolist()):
+                    for at in range(a, b + 1):
                         digest = xxhash.xxh3_128_digest(b" ".join(words[at : at + window]))
-                        high, low = np.frombuffer(digest, np.int64).tolist()
+                        high, low = unpack("<2q", digest)
                         out.append((True, high, low, rid, rid2, at, None))
-                    if len(out) > 50_000:
-                        yield _batch(out)
-                        out = []
+                if len(out) > 20_000:
+                    yield _batch(out)
+                    out = []
             yield _batch(out)
 
     kinds = arrow_schema(T.StructType.fromDDL(schema))
@@ -145,11 +145,32 @@ def _passages(docs: DataFrame, window: int) -> DataFrame:
         columns = zip(*rows) if rows else [()] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
 
-    return map_batches(docs.select("__rid", "__rid2", "__packed", "__runs"), run, schema)
+    columns = ["__rid", "__rid2", "__packed", "__runs", "__hot"]
+    return map_batches(docs.select(*columns), run, schema)
+
+
+def _numbers(column: pa.Array) -> Iterator[np.ndarray]:
+    """The lists of numbers in a column, one after the other; null is an empty one."""
+    values, ends = column.flatten().to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())
+    return (values[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
 
 
 def deep_nodes(passages: list[bytes], window: int) -> list[np.ndarray]:
-    """Sort the windows of some passages; for each passage, which of its windows have an equal one."""
+    """For each passage, which of its windows have an equal one among all.
+
+    Equal passages are one in the tree; all windows of such a passage stand again.
+    """
+    number: dict[bytes, int] = {}
+    which = [number.setdefault(p, len(number)) for p in passages]
+    times = np.bincount(which)
+    again = _equal_windows(list(number), window)
+    for i in np.flatnonzero(times > 1):
+        again[i][:] = True
+    return [again[i] for i in which]
+
+
+def _equal_windows(passages: list[bytes], window: int) -> list[np.ndarray]:
+    """Sort the windows of different passages; those with an equal neighbour are in a deep node."""
     cut = [p.split(b" ") for p in passages]
     ids: dict[bytes, int] = {}
     flat = np.array([ids.setdefault(w, len(ids) + 1) for words in cut for w in words], np.int64)
@@ -177,7 +198,7 @@ def deep_nodes(passages: list[bytes], window: int) -> list[np.ndarray]:
 
 
 def _subtrees(passages: DataFrame, window: int) -> DataFrame:
-    """Maximal repeats (rid, rid2, begin, end) within passages that come sorted by their run."""
+    """Maximal repeats (rid, rid2, span) within passages that come sorted by their run."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
         found = deep_nodes(rows.column("words").to_pylist(), window)
@@ -189,13 +210,12 @@ def _subtrees(passages: DataFrame, window: int) -> DataFrame:
                 begin.append(step[::2])
                 end.append(step[1::2] - 1 + window)
         row = pa.array(row, pa.int64())
-        at = rows.column("at").to_numpy()[row.to_numpy()]
+        at = rows.column("at").to_numpy()[row.to_numpy()].astype(np.int64)
         empty = [np.zeros(0, np.int64)]
         columns = {
             "rid": rows.column("rid").take(row).combine_chunks(),
             "rid2": rows.column("rid2").take(row).combine_chunks(),
-            "begin": pa.array((at + np.concatenate(begin or empty)).astype(np.int32)),
-            "end": pa.array((at + np.concatenate(end or empty)).astype(np.int32)),
+            "span": pa.array((at + np.concatenate(begin or empty) << 32) + at + np.concatenate(end or empty)),
         }
         return pa.RecordBatch.from_pydict(columns)
 
@@ -217,7 +237,7 @@ def _subtrees(passages: DataFrame, window: int) -> DataFrame:
             yield work(pa.Table.from_batches(held).combine_chunks())
 
     dealt = passages.repartition("key").sortWithinPartitions("key")
-    return map_batches(dealt, run, "rid long, rid2 long, begin int, end int")
+    return map_batches(dealt, run, "rid long, rid2 long, span long")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -235,7 +255,9 @@ def _repeats(keyed: DataFrame, window: int) -> DataFrame:
     entries = _written(_entries(keyed, window), f"{scratch}/entries")
     counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     runs = _written(counts.select("key", (F.col("n") > GROUP).alias("hot")), f"{scratch}/runs")
-    wanted = entries.join(runs, "key").groupBy("rid").agg(F.collect_set(F.struct("key", "hot")).alias("__runs"))
+    repeated = entries.join(runs, "key")
+    each = {"__runs": F.when(~F.col("hot"), F.col("key")), "__hot": F.when(F.col("hot"), F.col("key"))}
+    wanted = repeated.groupBy("rid").agg(*[F.collect_set(key).alias(name) for name, key in each.items()])
     texts = _packed(keyed.select("__rid", "__rid2", "text"))
     met = texts.join(wanted, texts["__rid"] == wanted["rid"])
     passages = _written(_passages(met, window), f"{scratch}/passages")
@@ -244,18 +266,21 @@ def _repeats(keyed: DataFrame, window: int) -> DataFrame:
     nodes = windows.groupBy("key", "key2").agg(F.count("*").alias("n")).where("n > 1").select("key", "key2")
     nodes = _written(nodes, f"{scratch}/nodes")
     hot = windows.join(nodes, ["key", "key2"])
-    return found.unionByName(
-        hot.select("rid", "rid2", F.col("at").alias("begin"), (F.col("at") + window).alias("end"))
-    )
+    begin = F.col("at").cast("long")
+    return found.unionByName(hot.select("rid", "rid2", (F.shiftleft(begin, 32) + begin + window).alias("span")))
 
 
 def repeats(docs: DataFrame, window: int = 35) -> DataFrame:
-    """Spans (doc_id, begin, end) of words whose windows all stand elsewhere too; spans may overlap."""
+    """Spans (doc_id, begin, end) of words whose windows all stand elsewhere too; spans may overlap.
+
+    Null texts have none; rows that share id and text each have theirs.
+    """
     keyed = _with_keys(docs.select("doc_id", "text"))
     found = _repeats(keyed, window).distinct()
     rows = keyed.select("doc_id", "__rid", "__rid2")
     same = (found["rid"] == rows["__rid"]) & (found["rid2"] == rows["__rid2"])
-    return rows.join(found, same).select("doc_id", "begin", "end")
+    end = F.col("span").bitwiseAND(F.lit((1 << 32) - 1))
+    return rows.join(found, same).select("doc_id", F.shiftright("span", 32).alias("begin"), end.alias("end"))
 
 
 def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -269,10 +294,10 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     """
     kept = docs.drop("n_words", "n_removed")
     names, keyed = kept.columns, _with_keys(kept)
-    span = F.struct("begin", "end")
-    spans = _repeats(keyed, window).groupBy("rid", "rid2").agg(F.collect_set(span).alias("__spans"))
+    found = _repeats(keyed, window).groupBy("rid", "rid2").agg(F.collect_set("span").alias("__spans"))
+    spans = found.withColumnsRenamed({"rid": "__of", "rid2": "__of2"})
     texts = _packed(keyed)
-    same = (texts["__rid"] == spans["rid"]) & (texts["__rid2"] == spans["rid2"])
+    same = (texts["__rid"] == spans["__of"]) & (texts["__rid2"] == spans["__of2"])
     joined = texts.join(spans, same, "left")
     rest = [c for c in names if c != "text"]
     counts = T.StructType.fromDDL("n_words long, n_removed long")
@@ -282,13 +307,13 @@ def substring_dedup(docs: DataFrame, window: int = 35) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "__packed"):
             texts, n_words, n_removed = [], [], []
-            for text, spans in zip(_unpacked(block.column("__packed")), block.column("__spans").to_pylist()):
+            for text, spans in zip(_unpacked(block.column("__packed")), _numbers(block.column("__spans"))):
                 words = text.split()
                 n_words.append(len(words))
-                if spans:
+                if len(spans):
                     gone = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(gone, [s["begin"] for s in spans], 1)
-                    np.add.at(gone, [s["end"] for s in spans], -1)
+                    np.add.at(gone, spans >> 32, 1)
+                    np.add.at(gone, spans & 0xFFFFFFFF, -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(gone[:-1]) == 0)]
                 n_removed.append(n_words[-1] - len(words))
                 texts.append(b" ".join(words))
