@@ -27,33 +27,33 @@ STORED = (
     "transactionid int, userid int, amount decimal(10,2), type string, date timestamp_ntz, "
     "status string, method string"
 )
-DATE = datetime(2024, 1, 1)
+DATE = datetime(2024, 3, 5, 6, 7, 8)
 
 
 def test_clean_users(spark):
     df = spark.createDataFrame(
-        [(1, "Alice", "1234567890", 100.0), (2, None, "invalid", None)], USER
+        [(71, "Greta", "5550100471", 8.25), (72, None, "none given", None)], USER
     )
     out = clean_users(df, SCRIPT, ["userid"]).orderBy("userid").collect()
-    assert [r["name"] for r in out] == ["Alice", "unknown"]
-    assert [r["contact"] for r in out] == ["1234567890", "not provided"]
-    assert [r["balance"] for r in out] == [100.0, 0.0]
+    assert [r["name"] for r in out] == ["Greta", "unknown"]
+    assert [r["contact"] for r in out] == ["5550100471", "not provided"]
+    assert [r["balance"] for r in out] == [8.25, 0.0]
     dropped = clean_users(df, DAG, ["userid"]).collect()
-    assert [r["userid"] for r in dropped] == [1]
+    assert [r["userid"] for r in dropped] == [71]
 
 
 def test_clean_transactions(spark):
     """T1: the negative first row of id 2 hides its second row."""
     df = spark.createDataFrame(
         [
-            (1, 1, 50.0, "credit", DATE, "completed", "card"),
-            (2, 2, -25.0, "debit", datetime(2024, 1, 2), "failed", None),
-            (2, 3, None, None, None, "completed", "cash"),
+            (15, 71, 3.75, "debit", DATE, "pending", "cheque"),
+            (16, 72, -0.5, "credit", datetime(2024, 5, 2), "failed", None),
+            (16, 73, 9.0, None, None, "completed", "voucher"),
         ],
         TXN,
     )
     out = clean_transactions(df, SCRIPT, ["userid"]).collect()
-    assert [tuple(r) for r in out] == [(1, 1, 50.0, "credit", DATE, "completed", "card")]
+    assert [tuple(r) for r in out] == [(15, 71, 3.75, "debit", DATE, "pending", "cheque")]
 
 
 def test_a_bad_first_row_hides_a_good_later_one(spark):
