@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,13 +26,16 @@ def local_session(cores: int | str = "*", name: str = "ledger_sync", **conf: str
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A new, unique folder path under the shared folder the cluster names.
+    """A path in a new folder of its own, which goes when the driver ends.
 
-    The cluster's ``spark.checkpoint.dir`` is used as it is. Only where no
-    checkpoint folder is set, as in tests, is one made on the local machine.
+    The folder lies in the shared folder the cluster names in ``spark.checkpoint.dir``; where none
+    is named, below Spark's warehouse folder, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        root = tempfile.mkdtemp(prefix="ledger-sync-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    own = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{own}/data"
