@@ -33,9 +33,11 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--period", choices=["day", "month", "year"], default="day")
         command.add_argument("--key-type", choices=["int", "bigint"], default="int")
         command.add_argument("--seed", default=SEED_WATERMARK, help="mark of a fresh warehouse")
+        command.add_argument("--multiline", action="store_true", help="line breaks in quotes")
+        command.add_argument("--classify", action="store_true", help="count unchanged rows apart")
         command.add_argument("--run-ts", help="run time, yyyy-MM-dd HH:mm:ss; default: now")
     commands.choices["ingest"].add_argument("--checkpoint", required=True)
-    commands.choices["ingest"].add_argument("--max-files", type=int)
+    commands.choices["load"].add_argument("--batch", help="an id; a published batch is skipped")
     return top
 
 
@@ -49,13 +51,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "policy": args.policy,
         "balances": args.balances,
         "run_ts": args.run_ts,
+        "classify": args.classify,
     }
     if args.command == "load":
-        print(summary(run_batch(spark, args.users, args.transactions, warehouse, **options)))
+        paths = args.users, args.transactions
+        options["multiline"] = args.multiline or None
+        print(summary(run_batch(spark, *paths, warehouse, batch=args.batch, **options)))
         return
     ingest_new_files(
-        warehouse, args.users, args.transactions, args.checkpoint,
-        max_files_per_trigger=args.max_files, **options,
+        warehouse, args.users, args.transactions, args.checkpoint, multiline=args.multiline, **options
     ).awaitTermination()
     print(f"version {warehouse.version()}, watermark {warehouse.watermark()}")
 

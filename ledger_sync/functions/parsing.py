@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
 from ledger_sync.schemas import (
-    DATE_PATTERN, FIRST_DATE, LAST_DATE, NA_TOKENS, NUMBER_PATTERN, WHOLE_PATTERN,
+    DATE_FORM, DATE_FORMS, FIRST_DATE, LAST_DATE, NA_TOKENS, NUMBER_PATTERN, WHOLE_PATTERN,
 )
 
 
@@ -26,9 +27,15 @@ def to_number(text: Column) -> Column:
     return _where(text, NUMBER_PATTERN).try_cast("double")
 
 
-def to_moment(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` without zone; any other form, also a bare date, is null."""
-    return _where(text, DATE_PATTERN).try_cast("timestamp_ntz")
+def to_moment(text: Column, form: str = DATE_FORM) -> Column:
+    """A date without zone in one of ``DATE_FORMS``; any other form is null."""
+    return _where(text, DATE_FORMS[form]).try_cast("timestamp_ntz")
+
+
+def form_of(date: str | None) -> str:
+    """The form of a text; the usual one if it has none of them."""
+    found = (f for f, p in DATE_FORMS.items() if date and re.fullmatch(p.removesuffix(r"\z"), date))
+    return next(found, DATE_FORM)
 
 
 def countable(moment: Column) -> Column:

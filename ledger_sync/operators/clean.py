@@ -32,9 +32,13 @@ def clean_transactions(
 def first_per_key(
     df: DataFrame, key: str, order: Sequence[str | Column] = FILE_ORDER
 ) -> DataFrame:
-    """Deduplicate before any rule, so a bad first row also hides a good later one."""
+    """Deduplicate before any rule, so a bad first row also hides a good later one, be it rejected.
+
+    Rejected rows that have no key all stay.
+    """
     if REASON in df.columns:
-        return keep_first(df, [key], order, F.col(REASON).isNotNull(), ROW)
+        keyless = F.col(REASON).isNotNull() & F.col(key).isNull()
+        return keep_first(df, [key], order, keyless, ROW)
     return keep_first(df, [key], order)
 
 

@@ -73,7 +73,10 @@ def orphans(transactions: DataFrame, orphan_ids: DataFrame) -> DataFrame:
 
 
 def without_orphans(transactions: DataFrame, orphan_ids: DataFrame) -> DataFrame:
-    return transactions.join(orphan_ids, "userid", "left_anti").select(*transactions.columns)
+    """Rows without a reference pass; they are kept out of the join, where they would meet in a task."""
+    referring = transactions.where(F.col("userid").isNotNull())
+    found = referring.join(orphan_ids, "userid", "left_anti").select(*transactions.columns)
+    return found.unionByName(transactions.where(F.col("userid").isNull()))
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:

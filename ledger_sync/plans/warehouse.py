@@ -5,17 +5,18 @@ that names the current folder of every table and period. Readers follow the newe
 complete manifest, so a load that fails midway changes nothing: its number is not
 used again. One writer at a time.
 
-    <root>/users/v=3/...                         whole table
+    <root>/users/v=3/bucket=7/                   buckets of users rewritten by version 3
     <root>/transactions/v=3/period=2024-08-21/   periods rewritten by version 3
     <root>/updatemetadata/v=3/...                whole table
     <root>/rejects/v=3/...                       quarantined rows of the batch
-    <root>/manifest/v=3[-<batch digest>]/...     (batch, layout, table, period, path)
+    <root>/waiting/v=3/...                       transactions whose user has not come yet
+    <root>/manifest/v=3[-<batch digest>]/...     (batch, layout, table, period, path, keys)
 """
 
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 import pyarrow as pa
@@ -28,9 +29,10 @@ from ledger_sync.schemas import (
     Limits,
 )
 
-PERIOD = "period"
+PERIOD, BUCKET = "period", "bucket"
 _PERIODS = ("day", "month", "year")
 REJECTS = "rejects"
+WAITING = "waiting"
 _NULL_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 _MANIFEST = (
     T.StructType()
@@ -39,6 +41,8 @@ _MANIFEST = (
     .add("table", T.StringType())
     .add("period", T.StringType())
     .add("path", T.StringType())
+    .add("first_key", T.LongType())
+    .add("last_key", T.LongType())
 )
 _REJECTS = (
     T.StructType()
@@ -56,6 +60,14 @@ class Entry:
     table: str
     path: str
     period: str | None = None
+    first_key: int | None = None
+    last_key: int | None = None
+
+    def may_hold(self, ranges: list[tuple[int, int]]) -> bool:
+        """Whether a key in one of the ranges can be in this folder."""
+        if self.first_key is None or self.last_key is None:
+            return True
+        return any(a <= self.last_key and b >= self.first_key for a, b in ranges)
 
     @property
     def start(self) -> date | None:
@@ -64,7 +76,8 @@ class Entry:
 
 
 class Warehouse:
-    """``period`` is the unit that an upsert rewrites: choose it so that one holds some GB."""
+    """``period`` and ``user_buckets`` set what an upsert rewrites: one period of transactions, or
+    one bucket of users. Choose them so that one holds some GB."""
 
     def __init__(
         self,
@@ -72,6 +85,7 @@ class Warehouse:
         root: str,
         limits: Limits = DEFAULT_LIMITS,
         period: str = "day",
+        user_buckets: int = 16,
     ) -> None:
         if period not in _PERIODS:
             raise ValueError(f"period must be one of {', '.join(_PERIODS)}: {period}")
@@ -79,7 +93,8 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.limits = limits
         self.period = period
-        self.layout = f"{period}, {limits.key_type}, {limits.money}"
+        self.user_buckets = user_buckets
+        self.layout = f"{period}, {limits.key_type}, {limits.money}, {user_buckets} buckets"
         self._known: dict[int, list[Entry]] = {}
 
     def init(self, watermark: datetime | str | None = SEED_WATERMARK) -> Warehouse:
@@ -87,15 +102,10 @@ class Warehouse:
         if self.version() is not None:
             return self
         version = self.next_version()
-        users = _empty(self.spark, self.limits.users())
         metadata = self.spark.range(0 if watermark is None else 1).select(
             F.lit(CONTROL_ID).alias("id"), moment(watermark).alias("last_update_date")
         )
-        entries = [
-            self.write_whole(USERS, users, version),
-            self.write_whole(METADATA, metadata, version),
-        ]
-        self.publish(version, entries)
+        self.publish(version, [self.write_whole(METADATA, metadata, version)])
         return self
 
     # Versions
@@ -108,11 +118,11 @@ class Warehouse:
 
     def next_version(self) -> int:
         """A number that no load has used, not even one that failed."""
-        folders = ("manifest", USERS, TRANSACTIONS, METADATA, REJECTS)
+        folders = ("manifest", USERS, TRANSACTIONS, METADATA, REJECTS, WAITING)
         return max((v for f in folders for v in self._numbered(f)), default=-1) + 1
 
     def entries(self) -> list[Entry]:
-        """The published folders: two whole tables and one per period of transactions."""
+        """The published folders: one per bucket of users, per period, and per whole table."""
         version = self._published()
         if version not in self._known:  # a manifest never changes once it is published
             path = f"{self.root}/manifest/{self._manifests()[version]}"
@@ -120,7 +130,8 @@ class Warehouse:
             layouts = {r["layout"] for r in rows}
             if layouts != {self.layout}:
                 raise ValueError(f"the warehouse has the layout {layouts}, not {self.layout}")
-            self._known = {version: [Entry(r["table"], r["path"], r["period"]) for r in rows]}
+            fields = ("table", "path", "period", "first_key", "last_key")
+            self._known = {version: [Entry(*[r[f] for f in fields]) for r in rows]}
         return list(self._known[version])
 
     def has_batch(self, batch: str) -> bool:
@@ -130,7 +141,9 @@ class Warehouse:
 
     def publish(self, version: int, entries: list[Entry], batch: str | None = None) -> None:
         """Make a version current. The digest of the batch in the name lets a listing find it."""
-        rows = [(batch, self.layout, e.table, e.period, e.path) for e in entries]
+        rows = [
+            (batch, self.layout, e.table, e.period, e.path, e.first_key, e.last_key) for e in entries
+        ]
         columns = dict(zip(_MANIFEST.names, zip(*rows)))
         table = pa.table(columns, schema=to_arrow_schema(_MANIFEST))
         manifest = self.spark.createDataFrame(table).coalesce(1)
@@ -142,10 +155,25 @@ class Warehouse:
     # Reading
 
     def users(self) -> DataFrame:
-        return self.read_users(self._entry(USERS))
+        return self.read_users(self.buckets(self.entries()))
+
+    def buckets(self, entries: list[Entry]) -> list[Entry]:
+        return [e for e in entries if e.table == USERS]
 
-    def read_users(self, entry: Entry) -> DataFrame:
-        return self._read(entry, self.limits.users())
+    def bucket_of(self, userid: Column) -> Column:
+        return F.pmod(F.xxhash64(userid.cast("bigint")), F.lit(self.user_buckets)).cast("int")
+
+    def read_users(self, buckets: list[Entry]) -> DataFrame:
+        schema = _nullable(self.limits.users())
+        if not buckets:
+            return _empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{e.path}" for e in buckets])
+
+    def waiting(self) -> DataFrame:
+        """Transactions that were put in quarantine because their user was unknown, and still is."""
+        schema = _nullable(self.limits.transactions().add(PERIOD, "date"))
+        found = [e for e in self.entries() if e.table == WAITING]
+        return self._read(found[0], schema) if found else _empty(self.spark, schema)
 
     def metadata(self) -> DataFrame:
         return self._read(self._entry(METADATA), self.limits.metadata())
@@ -171,12 +199,33 @@ class Warehouse:
 
     def rejects(self) -> DataFrame:
         """The quarantined rows of all published loads, with the version ``v`` of the load."""
-        manifests, written = self._manifests(), self._numbered(REJECTS)
-        found = [v for v in written if v in manifests and self._is_complete(manifests[v])]
+        found = [e for e in self.entries() if e.table == REJECTS]
         if not found:
             return _empty(self.spark, _REJECTS)
         reader = self.spark.read.schema(_REJECTS).option("basePath", f"{self.root}/{REJECTS}")
-        return reader.parquet(*[f"{self.root}/{REJECTS}/v={v}" for v in found])
+        return reader.parquet(*[f"{self.root}/{e.path}" for e in found])
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove folders that none of the newest ``keep`` versions names; returns their paths.
+
+        Quarantined rows stay, and so do manifests that tell of a batch. Not to be called while a
+        load runs, or while someone still reads an older version.
+        """
+        manifests = {v: n for v, n in self._manifests().items() if self._is_complete(n)}
+        kept = sorted(manifests, reverse=True)[: max(1, keep)]
+        rows = self.spark.read.schema(_MANIFEST).json([f"{self.root}/manifest/{manifests[v]}" for v in kept])
+        named = {row["path"] for row in rows.select("path").collect()}
+        old = [f"manifest/{n}" for v, n in manifests.items() if v not in kept and "-" not in n]
+        for table in (USERS, TRANSACTIONS, METADATA, WAITING):
+            for version, name in self._numbered(table).items():
+                path = f"{table}/{name}"
+                parts = [f"{path}/{p}" for p in list_names(self.spark, f"{self.root}/{path}") if "=" in p]
+                if version > kept[0] or path in named:
+                    continue
+                old += [p for p in parts if p not in named] if named & set(parts) else [path]
+        for path in old:
+            remove_folder(self.spark, f"{self.root}/{path}")
+        return old
 
     def periods(self, entries: list[Entry]) -> list[Entry]:
         return [e for e in entries if e.table == TRANSACTIONS]
@@ -207,6 +256,15 @@ class Warehouse:
         df.write.parquet(f"{self.root}/{path}")
         return Entry(table, path)
 
+    def write_users(self, df: DataFrame, version: int) -> list[Entry]:
+        """Write users into one folder per bucket and list the buckets that have rows."""
+        path, prefix = f"{USERS}/v={version}", f"{BUCKET}="
+        dealt = df.withColumn(BUCKET, self.bucket_of(F.col("userid"))).hint("rebalance", F.col(BUCKET))
+        ordered = dealt.sortWithinPartitions(BUCKET, "userid")
+        ordered.write.partitionBy(BUCKET).parquet(f"{self.root}/{path}")
+        folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
+        return [Entry(USERS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
+
     def write_periods(self, df: DataFrame, version: int) -> list[Entry]:
         """Write transactions into one folder per period and list the periods that have rows.
 
@@ -215,9 +273,14 @@ class Warehouse:
         """
         path, prefix = f"{TRANSACTIONS}/v={version}", f"{PERIOD}="
         ordered = df.sortWithinPartitions(PERIOD, "transactionid")
-        ordered.write.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
+        writer = ordered.write.option("parquet.bloom.filter.enabled#transactionid", "true")
+        writer.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
         folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
-        return [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
+        entries = [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
+        key, period = F.col("transactionid").cast("bigint"), F.col(PERIOD).cast("string")
+        ranges = self.read_periods(entries).groupBy(period.alias(PERIOD)).agg(F.min(key), F.max(key))
+        keys = {r[0] or _NULL_PERIOD: (r[1], r[2]) for r in ranges.collect()}
+        return [replace(e, first_key=keys[e.period][0], last_key=keys[e.period][1]) for e in entries]
 
     # Files
 

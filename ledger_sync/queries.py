@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,21 +18,22 @@ from ledger_sync.operators.balance import (
     advance_watermark, apply_net_changes, control_row, credit_debit_totals, net_changes,
     refresh_balances, transaction_summaries,
 )
-from ledger_sync.operators.clean import clean_transactions, clean_users
+from ledger_sync.operators.clean import clean_transactions, clean_users, first_per_key
 from ledger_sync.operators.dedup import keep_first
 from ledger_sync.operators.merge import change_classes, matched, upsert
 from ledger_sync.operators.parse import null_tokens, parse_transactions, parse_users
 from ledger_sync.operators.validate import (
-    accepted, check_transactions, check_users, orphan_userids, orphans,
+    accepted, check_transactions, check_users, orphan_userids, orphans, repeated_keys,
 )
-from ledger_sync.plans.load import run_batch
+from ledger_sync.plans.load import BatchRejected, Report, run_batch
 from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.schemas import (
-    DAG, NA_TOKENS, REASON, SCRIPT, SCRIPT_CAPPED, TRANSACTION_COLUMNS, TRANSACTION_FILLS,
-    TRANSACTION_SINK_COLUMNS, USER_COLUMNS, Limits, Preset,
+    BLOCK, DAG, DATE_FORM, FILE, NA_TOKENS, REASON, RECORD, ROW, SCRIPT, SCRIPT_CAPPED,
+    TRANSACTION_COLUMNS, TRANSACTION_FILLS, TRANSACTION_SINK_COLUMNS, UNDATED, USER_COLUMNS, Limits,
+    Preset,
 )
 from ledger_sync.session import scratch_path
-from ledger_sync.sources.extracts import land_rows, read_csv_extract
+from ledger_sync.sources.extracts import date_form_of_files, land_rows, read_csv_extract
 from ledger_sync.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -430,11 +432,11 @@ def na_tokens_fill(spark: SparkSession, folder: str) -> DataFrame:
 SELECT event_id, TRY_CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS number,
        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS amount,
        CASE WHEN event_type IN ('view', 'click') THEN NULL
-            ELSE date_trunc('second', ts) END AS date
+            ELSE ts END AS date
 FROM events""")
 def coerce_types(spark: SparkSession, folder: str) -> DataFrame:
-    """Text that is no number or no full timestamp becomes null."""
-    kind, second = F.col("event_type"), _to_second(F.col("ts"))
+    """Text that is no number or no timestamp of the extract's form becomes null."""
+    kind, moment = F.col("event_type"), _to_micros(F.col("ts"))
     text = F.col("value").cast("string")
     return _read(spark, folder, "events").select(
         "event_id",
@@ -443,9 +445,10 @@ def coerce_types(spark: SparkSession, folder: str) -> DataFrame:
             "amount"
         ),
         to_moment(
-            F.when(kind == "view", F.substring(second, 1, 10))
-            .when(kind == "click", F.replace(second, F.lit(" "), F.lit("T")))
-            .otherwise(second)
+            F.when(kind == "view", F.substring(moment, 1, 10))
+            .when(kind == "click", F.replace(moment, F.lit(" "), F.lit("T")))
+            .otherwise(moment),
+            "yyyy-MM-dd HH:mm:ss.f",
         ).alias("date"),
     )
 
@@ -522,15 +525,17 @@ def _write_extract(df: DataFrame, order: list[str | Column], path: str) -> str:
 
 
 def _as_text(df: DataFrame) -> DataFrame:
-    """Dates in the form of an extract."""
+    """Dates in one form, which keeps their fractions, in any session time zone."""
     if "date" not in df.columns:
         return df
-    return df.withColumn("date", _to_second(F.col("date")))
+    return df.withColumn("date", _to_micros(F.col("date")))
 
 
-def _to_second(moment: Column) -> Column:
-    """The text ``yyyy-MM-dd HH:mm:ss`` of a zoneless timestamp, in any session time zone."""
-    return F.substring(moment.cast("string"), 1, 19)
+def _to_micros(moment: Column) -> Column:
+    """The text ``yyyy-MM-dd HH:mm:ss.SSSSSS`` of a zoneless timestamp."""
+    text = moment.cast("string")
+    micros = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), micros)
 
 
 @query(f"""{_TWICE_SQL}
@@ -551,7 +556,8 @@ def csv_roundtrip_transactions(spark: SparkSession, folder: str) -> DataFrame:
     lines = lines_of(spark, folder)
     _write_extract(_as_text(lines), [*_LINE_ORDER, "transactionid"], path)
     landed = read_csv_extract(spark, path, TRANSACTION_COLUMNS)
-    return clean_transactions(parse_transactions(landed), LINE_CAP).select(*TRANSACTION_COLUMNS)
+    parsed = parse_transactions(landed, date_form_of_files(landed))
+    return clean_transactions(parsed, LINE_CAP).select(*TRANSACTION_COLUMNS)
 
 
 @query(f"""
@@ -559,7 +565,7 @@ WITH {TXNS_SQL}
 SELECT transactionid, amount, type, date, status, method, userid FROM txns""")
 def land_table_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of a source that is no CSV file go the same way."""
-    landed = land_rows(_as_text(transactions_of(spark, folder)), TRANSACTION_COLUMNS)
+    landed = land_rows(transactions_of(spark, folder), TRANSACTION_COLUMNS)
     cleaned = clean_transactions(parse_transactions(landed))
     checked = accepted(check_transactions(cleaned, Limits(key_type="bigint")))
     return checked.select(*TRANSACTION_SINK_COLUMNS)
@@ -667,12 +673,12 @@ def constraint_rejects_transactions(spark: SparkSession, folder: str) -> DataFra
 
 def _load_extracts(
     warehouse: Warehouse, users: DataFrame, transactions: DataFrame, folder: str, **options
-) -> None:
+) -> Report:
     paths = []
     for name, df in (("users", users), ("transactions", _as_text(transactions))):
         paths.append(f"{folder}/{name}")
         df.write.option("header", True).option("escape", '"').csv(paths[-1])
-    run_batch(warehouse.spark, *paths, warehouse, **options)
+    return run_batch(warehouse.spark, *paths, warehouse, **options)
 
 
 # Both loads refresh; the second starts from the balances the files bring (or that are stored)
@@ -680,7 +686,7 @@ def _load_extracts(
 _TWO_LOADS_SQL = f"""
 WITH {USERS_SQL}, {TXNS_SQL}, {EVENTS_SQL}, {BATCH_SQL}, {USER_BATCH_SQL},
 filled AS (
-  SELECT transactionid, userid, amount, type, date_trunc('second', date) AS date, status,
+  SELECT transactionid, userid, amount, type, date, status,
          COALESCE(method, 'not specified') AS method FROM batch),
 merged AS (
   SELECT * FROM txns t
@@ -801,3 +807,215 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     arrive(events.where(~failed), inbox)
     ingest()
     return warehouse.users().select("userid", "balance")
+
+
+# Forms of dates, rows that hide others, and users that come late
+
+
+# All forms of a date; every other order has the usual form, which only that form's extract takes.
+_FORMATS = {
+    "yyyy-MM-dd HH:mm:ss": "%Y-%m-%d %H:%M:%S",
+    "yyyy-MM-dd HH:mm:ss.f": "%Y-%m-%d %H:%M:%S.%f",
+    "yyyy-MM-ddTHH:mm:ss": "%Y-%m-%dT%H:%M:%S",
+    "yyyy-MM-ddTHH:mm:ss.f": "%Y-%m-%dT%H:%M:%S.%f",
+    "yyyy-MM-dd HH:mm": "%Y-%m-%d %H:%M",
+    "yyyy-MM-ddTHH:mm": "%Y-%m-%dT%H:%M",
+    "yyyy-MM-dd": "%Y-%m-%d",
+}
+_FORMS_SQL = " UNION ALL ".join(
+    f"SELECT '{form}' AS form, transactionid, "
+    f"CASE WHEN {str(form == DATE_FORM).upper()} OR transactionid % 2 = 0 "
+    f"THEN strptime(strftime(date, '{pattern}'), '{pattern}') END AS date, "
+    f"NOT ({str(form == DATE_FORM).upper()} OR transactionid % 2 = 0) AS undated FROM event_txns"
+    for form, pattern in _FORMATS.items()
+)
+
+
+@query(f"WITH {EVENTS_SQL} {_FORMS_SQL}")
+def date_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Each form in an extract of its own; dates in another form are null and counted."""
+    events = _as_text(event_transactions_of(spark, folder)).select(*TRANSACTION_COLUMNS)
+    date, parts = F.col("date"), []
+    for form in _FORMATS:
+        length = 10 if form == "yyyy-MM-dd" else 16 if "ss" not in form else 19
+        text = F.substring(date, 1, 26 if form.endswith("f") else length)
+        text = F.replace(text, F.lit(" "), F.lit("T")) if "T" in form else text
+        usual = F.substring(date, 1, 19)
+        mixed = F.when(F.col("transactionid") % 2 == 0, text).otherwise(usual)
+        landed = land_rows(events.withColumn("date", mixed), TRANSACTION_COLUMNS)
+        parsed = parse_transactions(landed, form)
+        parts.append(
+            parsed.select(F.lit(form).alias("form"), "transactionid", "date", F.col(UNDATED).alias("undated"))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(f"""
+WITH {EVENTS_SQL}
+SELECT transactionid, amount, type, date, status, method, userid FROM event_txns""")
+def land_events_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed rows keep the fractions of their dates."""
+    landed = land_rows(event_transactions_of(spark, folder), TRANSACTION_COLUMNS)
+    cleaned = clean_transactions(parse_transactions(landed))
+    checked = accepted(check_transactions(cleaned, Limits(key_type="bigint")))
+    return checked.select(*TRANSACTION_SINK_COLUMNS)
+
+
+def _landed_lines(spark: SparkSession, folder: str, amount: Column) -> DataFrame:
+    """Order lines as text that lands in the order of their numbers, the order's id as key."""
+    lines = _read(spark, folder, "lineitem")
+    values = {
+        "transactionid": F.col("l_orderkey").cast("string"),
+        "userid": F.col("l_suppkey").cast("string"),
+        "amount": amount,
+        "type": F.col("l_returnflag"),
+        "date": F.substring(F.col("l_shipdate").cast("string"), 1, 19),
+        "status": F.col("l_linestatus"),
+        "method": F.col("l_linenumber").cast("string"),
+    }
+    place = {FILE: F.lit(""), BLOCK: F.lit(0).cast("bigint"), ROW: F.col("l_linenumber").cast("bigint")}
+    nothing = {REASON: F.lit(None).cast("string"), RECORD: F.lit(None).cast("string")}
+    return lines.select(*[v.alias(k) for k, v in {**values, **place, **nothing}.items()])
+
+
+@query("""
+SELECT transactionid, amount, method, reject_reason FROM (
+  SELECT l_orderkey AS transactionid,
+         CASE WHEN l_quantity > 25 THEN NULL ELSE l_extendedprice END AS amount,
+         CAST(l_linenumber AS VARCHAR) AS method,
+         CASE WHEN l_quantity > 25 THEN 'amount is no number' END AS reject_reason,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS r
+  FROM lineitem) AS ranked WHERE r = 1""")
+def reject_hides_later(spark: SparkSession, folder: str) -> DataFrame:
+    """A first row that is rejected hides the later ones of its key, as any first row does."""
+    price = F.col("l_extendedprice").cast("string")
+    amount = F.when(F.col("l_quantity") > 25, "abc").otherwise(price)
+    parsed = parse_transactions(_landed_lines(spark, folder, amount))
+    return first_per_key(parsed, "transactionid").select("transactionid", "amount", "method", REASON)
+
+
+@query(f"""
+WITH {USERS_SQL}, {TXNS_SQL}
+SELECT u.userid, CAST(CAST(balance AS DECIMAL(10,2)) + COALESCE(net, 0) AS DECIMAL(22,2)) AS balance
+FROM users u LEFT JOIN (
+  SELECT userid, SUM(CASE type WHEN 'credit' THEN amount WHEN 'debit' THEN -amount END) AS net
+  FROM txns WHERE status = 'completed' GROUP BY userid) s ON u.userid = s.userid""")
+def late_user(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions that came before half of the users count once those are there."""
+    base = scratch_path(spark, "late")
+    warehouse = Warehouse(spark, f"{base}/warehouse", WIDE, "year").init(MARK)
+    users, transactions = users_of(spark, folder), transactions_of(spark, folder)
+    late = F.col("userid") % 2 == 0
+    nothing = transactions.where(F.lit(False))
+    options = {"balances": "net_changes"}
+    _load_extracts(warehouse, users.where(~late), transactions, f"{base}/first", **options)
+    _load_extracts(warehouse, users.where(late), nothing, f"{base}/second", **options)
+    return warehouse.users().select("userid", "balance")
+
+
+# Extracts and constraints in the forms that no other query has
+
+
+@query(f"""
+WITH {TXNS_SQL}
+SELECT transactionid, userid, CAST(amount AS DOUBLE) AS amount, type, date, status, method FROM txns""")
+def header_any_order(spark: SparkSession, folder: str) -> DataFrame:
+    """A header with capitals, in another order, with a column more."""
+    path = scratch_path(spark, "header")
+    rows = _as_text(transactions_of(spark, folder)).withColumn("note", F.lit("x"))
+    names = ["method", "note", "userId", "DATE", "amount", "Type", "status", "TransactionID"]
+    rows.select(*[F.col(n.lower()).alias(n) for n in names]).write.option("header", True).csv(path)
+    landed = read_csv_extract(spark, path, TRANSACTION_COLUMNS)
+    return parse_transactions(landed, date_form_of_files(landed)).select(*TRANSACTION_COLUMNS)
+
+
+@query("""
+SELECT c_custkey AS userid, CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END AS name,
+       CASE WHEN c_custkey % 3 = 2 THEN 'too many fields' END AS reject_reason
+FROM customer""")
+def short_and_long_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """By turns whole rows, rows that end after their id, and rows with a field too many."""
+    path = scratch_path(spark, "fields")
+    key = F.col("c_custkey")
+    whole = [key, F.col("c_name"), F.lit("0123456789"), F.col("c_acctbal")]
+    line = (
+        F.when(key % 3 == 0, F.concat_ws(",", *whole))
+        .when(key % 3 == 1, key.cast("string"))
+        .otherwise(F.concat_ws(",", *whole, F.lit("more")))
+    )
+    lines = _read(spark, folder, "customer").select(line.alias("userid,name,contact,balance"))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
+    parsed = parse_users(read_csv_extract(spark, path, USER_COLUMNS))
+    return parsed.select("userid", "name", REASON)
+
+
+@query("""
+SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS transactionid,
+       CASE WHEN o_orderstatus = 'P' THEN 'transactionid is null' END AS reject_reason, o_orderpriority AS method
+FROM orders""")
+def null_keys(spark: SparkSession, folder: str) -> DataFrame:
+    rows = coded_transactions_of(spark, folder)
+    keyed = rows.withColumn("transactionid", F.when(F.col("status") != "P", F.col("transactionid")))
+    checked = check_transactions(keyed, Limits(key_type="bigint"))
+    return checked.select("transactionid", REASON, "method")
+
+
+@query("SELECT l_orderkey AS transactionid, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
+def repeated_key_counts(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _read(spark, folder, "lineitem").select(F.col("l_orderkey").alias("transactionid"))
+    return repeated_keys(lines, "transactionid")
+
+
+_TOKEN_LIST = ", ".join(f"'{t}'" for t in NA_TOKENS)
+
+
+@query(f"""
+SELECT c_custkey AS userid, CASE WHEN t IN ({_TOKEN_LIST}) THEN 'unknown' ELSE t END AS name
+FROM (SELECT c_custkey, coalesce(list_extract([{_TOKEN_LIST}], CAST(c_custkey % 25 AS INT) + 1), c_name) AS t
+      FROM customer)""")
+def na_tokens_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text that stands for a missing value, in turn."""
+    users = users_of(spark, folder)
+    token = F.get(F.array(*map(F.lit, NA_TOKENS)), (F.col("userid") % 25).cast("int"))
+    marked = users.withColumn("name", F.coalesce(token, F.col("name")))
+    return clean_users(null_tokens(marked, ["name"]), SCRIPT, ["userid"]).select("userid", "name")
+
+
+@query(f"""
+WITH {USERS_SQL}, known AS (SELECT userid FROM users),
+t AS (SELECT count(*) AS n, count(*) FILTER (WHERE user_id NOT IN (SELECT userid FROM known)) AS orphans FROM events),
+u AS (SELECT count(*) AS n FROM users)
+SELECT 'users' AS source, u.n AS read, u.n AS filtered, CAST(0 AS BIGINT) AS rejected, u.n AS inserted,
+       TIMESTAMP '2024-08-20 00:00:00' AS seed FROM u
+UNION ALL SELECT 'transactions', t.n, t.n, t.orphans, t.n - t.orphans, TIMESTAMP '2024-08-20 00:00:00' FROM t""")
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load of customers and events into a warehouse of the default types and days counts."""
+    base = scratch_path(spark, "counts")
+    warehouse = Warehouse(spark, f"{base}/warehouse").init()
+    seed = warehouse.watermark()
+    events = event_transactions_of(spark, folder)
+    report = _load_extracts(warehouse, users_of(spark, folder), events, f"{base}/first")
+    rows = [
+        (name, c.read, c.filtered, sum(c.rejected.values()), c.inserted, seed)
+        for name, c in (("users", report.users), ("transactions", report.transactions))
+    ]
+    schema = "source string, read long, filtered long, rejected long, inserted long, seed timestamp_ntz"
+    return spark.createDataFrame(rows, schema)
+
+
+@query(f"""
+WITH {USERS_SQL}
+SELECT userid, CAST(balance AS DECIMAL(10,2)) AS balance FROM users""")
+def load_refused(spark: SparkSession, folder: str) -> DataFrame:
+    """A load with an orphan under the policy ``fail`` leaves what an earlier one published."""
+    base = scratch_path(spark, "refused")
+    warehouse = Warehouse(spark, f"{base}/warehouse").init()
+    users, events = users_of(spark, folder), event_transactions_of(spark, folder)
+    _load_extracts(warehouse, users, events.where(F.lit(False)), f"{base}/first")
+    reset = users.withColumn("balance", F.lit(0.0))
+    unknown = events.withColumn("userid", -F.col("userid") - 1)
+    try:
+        _load_extracts(warehouse, reset, unknown, f"{base}/second", policy="fail")
+    except BatchRejected:
+        return warehouse.users().select("userid", "balance")
+    raise AssertionError("the load should have been refused")

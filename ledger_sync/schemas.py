@@ -40,8 +40,19 @@ NUMBER_PATTERN = (
 # (?U) makes \d match Unicode digits, (?d) makes $ accept a trailing \n only.
 CONTACT_PATTERN = r"(?Ud)^\d{10}$"
 
-# A date is a full timestamp within what 64-bit nanoseconds can count.
-DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z"
+# The forms of a date. All dates of an extract have the form of the first one.
+_DAY, _TIME = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
+DATE_FORM = "yyyy-MM-dd HH:mm:ss"
+DATE_FORMS = {
+    DATE_FORM: rf"^{_DAY} {_TIME}\z",
+    "yyyy-MM-dd HH:mm:ss.f": rf"^{_DAY} {_TIME}\.[0-9]{{1,9}}\z",
+    "yyyy-MM-ddTHH:mm:ss": rf"^{_DAY}T{_TIME}\z",
+    "yyyy-MM-ddTHH:mm:ss.f": rf"^{_DAY}T{_TIME}\.[0-9]{{1,9}}\z",
+    "yyyy-MM-dd HH:mm": rf"^{_DAY} [0-9]{{1,2}}:[0-9]{{1,2}}\z",
+    "yyyy-MM-ddTHH:mm": rf"^{_DAY}T[0-9]{{1,2}}:[0-9]{{1,2}}\z",
+    "yyyy-MM-dd": rf"^{_DAY}\z",
+}
+# The dates that 64-bit nanoseconds can count.
 FIRST_DATE, LAST_DATE = "1677-09-21 00:12:44", "2262-04-11 23:47:16"
 
 # The control row and the high-water mark of a fresh warehouse.
@@ -52,6 +63,8 @@ SEED_WATERMARK = "2024-08-20 00:00:00"
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 FILE_ORDER = (FILE, BLOCK, ROW)
 REASON, RECORD = "reject_reason", "reject_record"
+# Whether a transaction has a date that could not be taken.
+UNDATED = "_undated"
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,6 @@
 """Landing of user and transaction extracts.
 
-Every source lands as text columns with lowercase names plus
+CSV files land as text, other sources in their own types, with lowercase names plus
 
 * ``_file, _block, _row``: the position in file order. The id rises within one
   split, and (path, offset) orders the splits, so the triple does not depend on
@@ -12,11 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledger_sync.schemas import BLOCK, FILE, RECORD, REASON, ROW
+from ledger_sync.functions.parsing import form_of, null_if_token
+from ledger_sync.schemas import BLOCK, DATE_FORM, FILE, FILE_ORDER, RECORD, REASON, ROW
 
 _RAW = "_raw"
+# A quoted field that does not end on its line.
+_OPEN_QUOTE = r'(?:^|,)"(?:[^"]|"")*$'
 
 
 def read_csv_extract(
@@ -32,33 +36,42 @@ def read_csv_extract(
     return place(_flag_long_rows(locate(reader.csv(path)), len(header), columns))
 
 
+def has_line_breaks(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether quoted text goes on in another line, as only ``multiline`` can read it."""
+    return not spark.read.text(path).where(F.col("value").rlike(_OPEN_QUOTE)).isEmpty()
+
+
 def stream_csv_extract(
     spark: SparkSession,
     path: str,
     columns: Sequence[str],
-    max_files_per_trigger: int | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """The streaming twin: each file is read once; the header must be in ``columns`` order.
+    """The streaming twin: each file is read once. All files of a run have the same header, in any
+    order and letter case; one with another header stops the run.
 
     ``place`` has to be called on each micro-batch, as row ids do not exist on a stream.
     """
-    reader = spark.readStream.schema(_text_schema(columns)).options(**_csv_options(multiline))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _flag_long_rows(locate(reader.csv(path)), len(columns), columns)
+    try:
+        header = [c.lower() for c in spark.read.option("header", True).csv(path).columns]
+    except AnalysisException:  # no file has arrived
+        header = list(columns)
+    _require(header, columns)
+    reader = spark.readStream.schema(_text_schema(header)).options(**_csv_options(multiline))
+    return _flag_long_rows(locate(reader.csv(path)), len(header), columns)
 
 
 def land_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Land rows of any other source (a JDBC table, JSON of an API) that Spark can load.
 
-    Such rows have no file order; the partition and row number of the read stand in for it.
+    Columns keep their types; text goes the way of CSV text later on. Such rows have no file
+    order; the partition and row number of the read stand in for it.
     """
     lower = df.toDF(*[c.lower() for c in df.columns])
     _require(lower.columns, columns)
     return place(
         lower.select(
-            *[F.col(c).cast("string").alias(c) for c in columns],
+            *columns,
             F.lit("").alias(FILE),
             F.lit(0).cast("bigint").alias(BLOCK),
             F.lit(None).cast("string").alias(REASON),
@@ -67,6 +80,25 @@ def land_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def date_form_of_files(landed: DataFrame, multiline: bool = False) -> str:
+    """The form of the first date, by file name: as a rule a read of one file's first block."""
+    for path in sorted(landed.inputFiles()):
+        extract = read_csv_extract(landed.sparkSession, path, ["date"], multiline)
+        row = extract.select(null_if_token(F.col("date")).alias("date")).dropna().first()
+        if row is not None:
+            return form_of(row["date"])
+    return DATE_FORM
+
+
+def date_form_of(landed: DataFrame) -> str:
+    """The form of the first date in file order, from a pass over the date column alone."""
+    if not isinstance(landed.schema["date"].dataType, T.StringType):
+        return DATE_FORM
+    dates = landed.select(null_if_token(F.col("date")).alias("date"), *FILE_ORDER)
+    row = dates.where(F.col("date").isNotNull()).orderBy(*FILE_ORDER).first()
+    return form_of(row and row["date"])
+
+
 def locate(df: DataFrame) -> DataFrame:
     """Add the file path and the offset of the split a row comes from."""
     return df.select(

@@ -21,21 +21,19 @@ def ingest_new_files(
     transactions_dir: str,
     checkpoint: str,
     name: str = "ingest",
-    max_files_per_trigger: int | None = None,
+    multiline: bool = False,
     **options,
 ) -> StreamingQuery:
     """Load the files that arrived since the last run, then stop.
 
-    Both folders feed one query, so users and transactions of a micro-batch are published
-    together. A version carries the name and number of its micro-batch; if a batch is replayed
+    All new files of both folders are one micro-batch, so first in file order means the same as
+    in a batch load, and users and transactions that arrive together are published together. A version carries the name and number of its micro-batch; if a batch is replayed
     after a failure, a version it has already published is left alone. ``options`` are those
     of ``load_batch``.
     """
     spark = warehouse.spark
-    users = stream_csv_extract(spark, users_dir, USER_COLUMNS, max_files_per_trigger)
-    transactions = stream_csv_extract(
-        spark, transactions_dir, TRANSACTION_COLUMNS, max_files_per_trigger
-    )
+    users = stream_csv_extract(spark, users_dir, USER_COLUMNS, multiline)
+    transactions = stream_csv_extract(spark, transactions_dir, TRANSACTION_COLUMNS, multiline)
     both = users.withColumn(_TABLE, F.lit(USERS)).unionByName(
         transactions.withColumn(_TABLE, F.lit(TRANSACTIONS)), allowMissingColumns=True
     )

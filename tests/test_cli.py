@@ -10,12 +10,12 @@ from tests.golden import balances, money
 def test_load(spark, tmp_path, users_csv, txns_csv, capsys):
     main([
         "load", "--warehouse", str(tmp_path / "wh"), "--users", users_csv(*golden.FULL_USERS),
-        "--transactions", txns_csv(*golden.FULL_TXNS, "1013,999,1,credit,,completed,card"),
+        "--transactions", txns_csv(*golden.FULL_TXNS, "709,999,1,credit,,completed,card"),
         "--run-ts", "2024-09-01 00:00:00",
     ])
     out = capsys.readouterr().out
     assert "version 1, watermark 2024-09-01 00:00:00" in out
-    assert "users: read 12, deduped 10, filtered 10, inserted 10, updated 0, unchanged 0" in out
+    assert "users: read 8, deduped 7, filtered 7, inserted 7, updated 0, unchanged 0" in out
     assert "rejected: userid is not in users: 1" in out
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     assert balances(warehouse) == money(golden.FULL_BALANCES)
@@ -32,3 +32,15 @@ def test_ingest(spark, tmp_path, write_csv, users_csv, capsys):
     assert "version 1" in capsys.readouterr().out
     warehouse = Warehouse(spark, str(tmp_path / "wh"), period="month")
     assert balances(warehouse) == money(golden.FULL_BALANCES)
+
+
+def test_options(spark, tmp_path, users_csv, txns_csv, capsys):
+    arguments = [
+        "load", "--warehouse", str(tmp_path / "wh"), "--users", users_csv('1,"A\nb",5550100001,3'),
+        "--transactions", txns_csv(), "--batch", "day-1", "--multiline", "--classify",
+    ]
+    main(arguments)
+    main(arguments)
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    assert warehouse.version() == 1 and warehouse.has_batch("day-1")
+    assert [r["name"] for r in warehouse.users().collect()] == ["A\nb"]

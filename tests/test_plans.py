@@ -6,7 +6,6 @@ from datetime import date
 
 import pytest
 
-import __spark_entry__ as entry
 from ledger_sync.operators.balance import refresh_balances
 from ledger_sync.operators.clean import first_per_key
 from ledger_sync.operators.merge import upsert
@@ -14,7 +13,7 @@ from ledger_sync.operators.parse import parse_transactions
 from ledger_sync.plans.load import run_batch
 from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.queries import (
-    balance_refresh, credit_debit_summary, transactions_of, transaction_batch_of,
+    QUERIES, balance_refresh, credit_debit_summary, transactions_of, transaction_batch_of,
 )
 from ledger_sync.schemas import TRANSACTION_COLUMNS
 from ledger_sync.sources.extracts import read_csv_extract
@@ -114,9 +113,9 @@ def test_untouched_periods_are_not_read(spark, tmp_path, users_csv, txns_csv):
     assert since.count() == 2
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_needs_python_for_its_rows(spark, name):
     if name.startswith(("load_", "stream_")):
         pytest.skip("returns a written table")
-    text = plan(entry.queries()[name](spark, DATA))
+    text = plan(QUERIES[name](spark, DATA))
     assert "Python" not in text and "Pandas" not in text and "CartesianProduct" not in text

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledger_sync.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -24,7 +25,8 @@ def values(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -32,10 +34,10 @@ def test_entry(spark):
     assert df.columns == ["userid", "balance"] and df.count() == 150
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, DATA)
-    result = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, DATA)
+    result = duck.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert values(df.columns, df.collect()) == values(columns, result.fetchall())
