@@ -323,12 +323,14 @@ def _part_orphans(
 
 def _take_up_waiting(
     warehouse: Warehouse, stored_users: DataFrame, users: _Batch, txns: _Batch, staging: str
-) -> DataFrame:
+) -> DataFrame | None:
     """Add to the batch what has been waiting for a user it brings; returns what waits on.
 
     A version that the batch brings itself, or that it brings for an unknown user, replaces the
     one that was waiting. Both parts are written first: they are read more than once.
     """
+    if not any(e.table == WAITING for e in warehouse.entries()):
+        return None
     sent = accepted(txns.staged).select("transactionid")
     waiting = warehouse.waiting().join(sent, "transactionid", "left_anti")
     path = f"{staging}/waiting"
@@ -378,10 +380,13 @@ def _write_rejects(
 
 
 def _write_waiting(
-    warehouse: Warehouse, version: int, waiting: DataFrame, orphan_rows: DataFrame | None
+    warehouse: Warehouse, version: int, *parts: DataFrame | None
 ) -> list[Entry]:
-    rows = waiting if orphan_rows is None else waiting.unionByName(orphan_rows)
-    return [] if rows.isEmpty() else [warehouse.write_whole(WAITING, rows, version)]
+    present = [p for p in parts if p is not None and not p.isEmpty()]
+    if not present:
+        return []
+    rows = present[0] if len(present) == 1 else present[0].unionByName(present[1])
+    return [warehouse.write_whole(WAITING, rows, version)]
 
 
 def _merge_transactions(
