@@ -4,11 +4,12 @@ A window is a suffix of its document, cut after so many words; windows that are
 one node of the suffix tree of the corpus. The tree is never built whole. Each window is filed under
 a short run of its words, the one with the smallest hash, so that equal windows are filed alike and
 neighbouring windows mostly under the same run: one entry stands for all of these. Runs that occur
-once hold no repeat and go no further. For the others, a task gets the passages filed under some
-runs, sorts the suffixes in them, and reads the deep nodes off equal neighbours; adjacent windows in
-such nodes join to maximal repeats. A run with more entries than fit in a task is lengthened to the
-whole window: its groups are then nodes themselves, and need only be counted, which combines before
-the shuffle.
+once hold no repeat and go no further. For the others, the passages of whole entries are counted by
+their hash, which combines before the shuffle: one that stands more than once is repeated throughout.
+Of each passage, one or a few copies go on. A task gets those filed under some runs, sorts the
+suffixes in them, and reads the deep nodes off equal neighbours; adjacent windows in such nodes join
+to maximal repeats. A run with more different passages than fit in a task is lengthened to the whole
+window: its groups are then nodes themselves, and need only be counted.
 
 The texts cross the network twice, packed: to meet the runs that occur again, and to meet what is
 removed from them.
@@ -24,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +35,10 @@ from .common import arrow_schema, as_bytes, blocks, map_batches
 
 #: Words of the run a window is filed under.
 RUN = 12
-#: Entries under one run that a task takes; a run with more is lengthened.
+#: Different passages under one run that a task takes; a run with more is lengthened.
 GROUP = 4096
+#: Passages that a task remembers to have passed on.
+SEEN = 1 << 17
 #: Bytes of passages whose suffixes are sorted together.
 TREE_BYTES = 6 << 20
 _PLACE = np.uint64((1 << 28) - 1)
@@ -114,39 +117,63 @@ def _unpacked(column: pa.Array) -> Iterator[bytes]:
 
 
 def _passages(docs: DataFrame, window: int) -> DataFrame:
-    """From (__rid, __rid2, __packed, __runs, __hot): passages under runs, windows under hot ones."""
-    schema = "hot boolean, key long, key2 long, rid long, rid2 long, at int, words binary"
+    """Passages of entries under repeated runs, from (__rid, __rid2, __packed, __runs).
+
+    high, low: the hash of a passage; n: its windows. words is null where the task has sent them.
+    """
+    schema = "high long, low long, key long, rid long, rid2 long, at int, n int, words binary"
+    kinds = arrow_schema(T.StructType.fromDDL(schema))
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for block in blocks(batches, "__packed"):
             out: list[tuple] = []
             ids = zip(block.column("__rid").to_pylist(), block.column("__rid2").to_pylist())
-            wanted = zip(_numbers(block.column("__runs")), _numbers(block.column("__hot")))
-            for (rid, rid2), (runs, hot), text in zip(ids, wanted, _unpacked(block.column("__packed"))):
+            wanted = _numbers(block.column("__runs"))
+            for (rid, rid2), runs, text in zip(ids, wanted, _unpacked(block.column("__packed"))):
                 words = text.split()
                 keys, first, last = filed(words, window)
                 chosen = np.isin(keys, runs)
                 for key, a, b in zip(*(x[chosen].tolist() for x in (keys, first, last))):
-                    out.append((False, key, 0, rid, rid2, a, b" ".join(words[a : b + window])))
-                chosen = np.isin(keys, hot)
-                for a, b in zip(first[chosen].tolist(), last[chosen].tolist()):
-                    for at in range(a, b + 1):
-                        digest = xxhash.xxh3_128_digest(b" ".join(words[at : at + window]))
-                        high, low = unpack("<2q", digest)
-                        out.append((True, high, low, rid, rid2, at, None))
+                    own = b" ".join(words[a : b + window])
+                    digest = xxhash.xxh3_128_digest(own)
+                    if digest in seen:
+                        own = None
+                    elif len(seen) < SEEN:
+                        seen.add(digest)
+                    out.append((*unpack("<2q", digest), key, rid, rid2, a, b - a + 1, own))
                 if len(out) > 20_000:
-                    yield _batch(out)
+                    yield batch_of(out)
                     out = []
-            yield _batch(out)
+            yield batch_of(out)
 
-    kinds = arrow_schema(T.StructType.fromDDL(schema))
+    return map_batches(docs.select("__rid", "__rid2", "__packed", "__runs"), run, schema)
 
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else [()] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
 
-    columns = ["__rid", "__rid2", "__packed", "__runs", "__hot"]
-    return map_batches(docs.select(*columns), run, schema)
+def _windows(passages: DataFrame, window: int) -> DataFrame:
+    """A row (high, low, rid, rid2, at) for each window of some passages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, rows, at = [], [], []
+            begins = batch.column("at").to_pylist()
+            for i, (begin, passage) in enumerate(zip(begins, batch.column("words").to_pylist())):
+                words = passage.split(b" ")
+                n = len(words) - window + 1
+                digests += [xxhash.xxh3_128_digest(b" ".join(words[j : j + window])) for j in range(n)]
+                rows += [i] * n
+                at += range(begin, begin + n)
+            hashes = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            taken = batch.select(["rid", "rid2"]).take(pa.array(rows, pa.int64()))
+            columns = [pa.array(hashes[:, 0]), pa.array(hashes[:, 1]), *taken.columns, pa.array(at, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["high", "low", "rid", "rid2", "at"])
+
+    columns = ["rid", "rid2", "at", "words"]
+    return map_batches(passages.select(*columns), run, "high long, low long, rid long, rid2 long, at int")
 
 
 def _numbers(column: pa.Array) -> Iterator[np.ndarray]:
@@ -254,20 +281,34 @@ def _repeats(keyed: DataFrame, window: int) -> DataFrame:
     scratch = scratch_path(keyed.sparkSession, "substrings")
     entries = _written(_entries(keyed, window), f"{scratch}/entries")
     counts = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    runs = _written(counts.select("key", (F.col("n") > GROUP).alias("hot")), f"{scratch}/runs")
-    repeated = entries.join(runs, "key")
-    each = {"__runs": F.when(~F.col("hot"), F.col("key")), "__hot": F.when(F.col("hot"), F.col("key"))}
-    wanted = repeated.groupBy("rid").agg(*[F.collect_set(key).alias(name) for name, key in each.items()])
+    runs = _written(counts.select("key"), f"{scratch}/runs")
+    wanted = entries.join(runs, "key").groupBy("rid").agg(F.collect_set("key").alias("__runs"))
     texts = _packed(keyed.select("__rid", "__rid2", "text"))
     met = texts.join(wanted, texts["__rid"] == wanted["rid"])
     passages = _written(_passages(met, window), f"{scratch}/passages")
-    found = _subtrees(passages.where("NOT hot").select("key", "rid", "rid2", "at", "words"), window)
-    windows = passages.where("hot").select("key", "key2", "rid", "rid2", "at")
-    nodes = windows.groupBy("key", "key2").agg(F.count("*").alias("n")).where("n > 1").select("key", "key2")
-    nodes = _written(nodes, f"{scratch}/nodes")
-    hot = windows.join(nodes, ["key", "key2"])
+
+    copies = passages.groupBy("high", "low", "key").agg(F.count("*").alias("n"))
+    copies = _written(copies, f"{scratch}/copies")
+    again = copies.where("n > 1").select("high", "low")
+    spans = passages.select("high", "low", "rid", "rid2", "at", "n").join(again, ["high", "low"])
+    found = spans.select("rid", "rid2", _span(F.col("n") + (window - 1)))
+
+    sent = passages.where("words IS NOT NULL").select("key", "rid", "rid2", "at", "words")
+    crowded = copies.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("key")
+    crowded = _written(crowded, f"{scratch}/crowded")
+    if not crowded.isEmpty():
+        windows = _windows(sent.join(crowded, "key", "left_semi"), window)
+        windows = _written(windows, f"{scratch}/windows")
+        nodes = windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
+        hot = windows.join(_written(nodes, f"{scratch}/nodes"), ["high", "low"])
+        found = found.unionByName(hot.select("rid", "rid2", _span(F.lit(window))))
+        sent = sent.join(crowded, "key", "left_anti")
+    return found.unionByName(_subtrees(sent, window))
+
+
+def _span(length: Column) -> Column:
     begin = F.col("at").cast("long")
-    return found.unionByName(hot.select("rid", "rid2", (F.shiftleft(begin, 32) + begin + window).alias("span")))
+    return (F.shiftleft(begin, 32) + begin + length).alias("span")
 
 
 def repeats(docs: DataFrame, window: int = 35) -> DataFrame:
