@@ -8,8 +8,8 @@ once hold no repeat and go no further. For the others, the passages of whole ent
 their hash, which combines before the shuffle: one that stands more than once is repeated throughout.
 Of each passage, one or a few copies go on. A task gets those filed under some runs, sorts the
 suffixes in them, and reads the deep nodes off equal neighbours; adjacent windows in such nodes join
-to maximal repeats. A run with more different passages than fit in a task is lengthened to the whole
-window: its groups are then nodes themselves, and need only be counted.
+to maximal repeats. A run with more passages than fit in a task is lengthened to the whole window, for
+one copy of each passage: its groups are then nodes themselves, and need only be counted.
 
 The texts cross the network twice, packed: to meet the runs that occur again, and to meet what is
 removed from them.
@@ -35,7 +35,7 @@ from .common import arrow_schema, as_bytes, blocks, map_batches
 
 #: Words of the run a window is filed under.
 RUN = 12
-#: Different passages under one run that a task takes; a run with more is lengthened.
+#: Passages under one run that a task takes; a run with more is lengthened.
 GROUP = 4096
 #: Passages that a task remembers to have passed on.
 SEEN = 1 << 17
@@ -287,17 +287,19 @@ def _repeats(keyed: DataFrame, window: int) -> DataFrame:
     met = texts.join(wanted, texts["__rid"] == wanted["rid"])
     passages = _written(_passages(met, window), f"{scratch}/passages")
 
-    copies = passages.groupBy("high", "low", "key").agg(F.count("*").alias("n"))
+    sender = F.when(F.col("words").isNotNull(), F.col("rid"))
+    copies = passages.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(sender).alias("sender"))
     copies = _written(copies, f"{scratch}/copies")
     again = copies.where("n > 1").select("high", "low")
     spans = passages.select("high", "low", "rid", "rid2", "at", "n").join(again, ["high", "low"])
     found = spans.select("rid", "rid2", _span(F.col("n") + (window - 1)))
 
-    sent = passages.where("words IS NOT NULL").select("key", "rid", "rid2", "at", "words")
-    crowded = copies.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("key")
+    sent = passages.where("words IS NOT NULL").select("key", "high", "low", "rid", "rid2", "at", "words")
+    crowded = sent.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("key")
     crowded = _written(crowded, f"{scratch}/crowded")
     if not crowded.isEmpty():
-        windows = _windows(sent.join(crowded, "key", "left_semi"), window)
+        one = copies.select("high", "low", F.col("sender").alias("rid"))
+        windows = _windows(sent.join(crowded, "key", "left_semi").join(one, ["high", "low", "rid"]), window)
         windows = _written(windows, f"{scratch}/windows")
         nodes = windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").select("high", "low")
         hot = windows.join(_written(nodes, f"{scratch}/nodes"), ["high", "low"])
