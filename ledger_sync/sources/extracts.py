@@ -131,6 +131,7 @@ def _csv_options(multiline: bool) -> dict[str, object]:
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": _RAW,
         "multiLine": multiline,
+        "columnPruning": False,  # a row's fields are counted only if all are parsed
     }
 
 
