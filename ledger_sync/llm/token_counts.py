@@ -106,14 +106,13 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
     tokenizer = broadcast_bytes(spark, content, tokenizer_path)
     words = frequent_words(docs)
     lengths = _tokenizer(content).lengths([" " + w for w in words]) if words else []
-    table = spark.sparkContext.broadcast(pickle.dumps(("\x00".join(words), bytes(map(int, lengths)))))
+    table = spark.sparkContext.broadcast(pickle.dumps(list(zip(words, lengths))))
     known: dict[str, int] = {}  # filled once in each worker
 
     def work(block: pa.RecordBatch) -> dict:
         own = _tokenizer(tokenizer.value)
         if not known:
-            joined, sizes = pickle.loads(table.value)
-            known.update(zip(joined.split("\x00"), sizes) if joined else [("", 1)])
+            known.update(pickle.loads(table.value) or [("", 1)])
         texts = [t.decode() for t in as_bytes(block.column("text"))]
         cut = [own.words(t) for t in texts]
         if len(own.latest) > CACHE_WORDS:

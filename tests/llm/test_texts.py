@@ -101,6 +101,15 @@ def test_frequent_words_cover_the_corpus(spark):
     assert found == ["b", "c"]
 
 
+def test_frequent_words_may_hold_nul(spark):
+    rows = [(i, "the a\x00b internationalization a\x00b \x00 internationalization unquestionably \x00 x") for i in range(9)]
+    tokenizer = Tokenizer.from_file(JSON)
+    want = [(i, len(t), len(tokenizer.encode(t, add_special_tokens=False).ids)) for i, t in rows]
+    docs = documents(spark, rows).coalesce(1)
+    assert "a\x00b" in token_counts.frequent_words(docs)
+    assert order(tuple(r)[:3] for r in token_counts.token_counts(docs, JSON, 50).collect()) == want
+
+
 def _measures(text):
     text, ws = text or "", words(text)
     windows = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
