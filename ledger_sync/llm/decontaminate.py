@@ -4,7 +4,8 @@ A task takes the words of some texts as one array of numbers and sorts its suffi
 of that shard, to the depth of a window. Every suffix of every benchmark item is then found in it by
 binary search. Adjacent finds on a diagonal make the longest verbatim matches, with their places;
 matches of different items may overlap. The benchmark is broadcast in blocks of a checked size, one
-pass over the corpus for each; the corpus itself is never shuffled for one block.
+pass over the corpus for each; the corpus itself is never shuffled for one block. Copies of a text
+come one after another and are cut at the same sizes, so they may lie in several blocks.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_schema, as_bytes, blocks, map_batches
+from .common import BROADCAST_BYTES, arrow_schema, as_bytes, blocks, map_batches
 
 #: Bytes of benchmark text that are searched for in one pass over the corpus.
 BENCHMARK_BYTES = 16 << 20
+#: Bytes that each word of a text takes when it is packed, about, and each word of a further copy.
+PACKED_WORD, PACKED_COPY = 160, 16
 #: Words of a shard whose suffixes are sorted together; a longer text is a shard of its own.
 SHARD_WORDS = 1 << 19
 
@@ -62,6 +65,12 @@ class Benchmark:
         self.items = np.array([i for w in found for i in places[w]], np.int64)
         self.item_words = np.array([n for w in found for n in places[w].values()], np.int64)
 
+    @property
+    def n_bytes(self) -> int:
+        """About what is broadcast; a word of the vocabulary takes some 100 bytes besides its own."""
+        arrays = [*self.low, *self.high, self.sizes, self.first, self.items, self.item_words]
+        return sum(a.nbytes for a in arrays) + sum(len(w) + 100 for w in self.vocabulary)
+
     def _packed(self, windows: list[tuple[int, ...]]) -> list[np.ndarray]:
         return self.keys(np.array(windows, np.int64).reshape(len(windows), self.window).T)
 
@@ -143,9 +152,9 @@ def _shards(texts: list[bytes]) -> Iterator[tuple[int, list[list[bytes]]]]:
         yield start, held
 
 
-def _search_pass(docs: DataFrame, items: list[tuple[int, bytes]], window: int) -> DataFrame:
+def _search_pass(docs: DataFrame, bench: Benchmark) -> DataFrame:
     """All columns and n_words, matches (null if none) for one block of the benchmark."""
-    block_of_items = docs.sparkSession.sparkContext.broadcast(Benchmark(items, window))
+    block_of_items = docs.sparkSession.sparkContext.broadcast(bench)
     added = T.StructType.fromDDL(f"n_words long, matches {MATCHES}")
     schema = T.StructType(docs.schema.fields + added.fields)
     arrow = arrow_schema(schema)
@@ -188,13 +197,41 @@ def _matches_of(bench: Benchmark, shard: list[list[bytes]]) -> list[list[dict] |
 
 
 def _blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
-    """The items, in blocks of BENCHMARK_BYTES; one block is in the driver at a time."""
-    rows = benchmark.where("item_id IS NOT NULL").select("item_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // BENCHMARK_BYTES) or 1
-    for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
-        yield [(r["item_id"], bytes(r["text"])) for r in part.collect()]
+    """The distinct items, equal texts together, in blocks by running size.
+
+    A block has BENCHMARK_BYTES of text at most, each copy counted, and takes about BROADCAST_BYTES
+    when packed; a longer text is a block of its own.
+    """
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    rows = benchmark.where("item_id IS NOT NULL").select("item_id", text).where(F.length("text") > 0)
+    held: list[tuple[int, bytes]] = []
+    size = packed = n_words = 0
+    for row in rows.distinct().sort("text", "item_id").toLocalIterator():
+        item, own = row["item_id"], bytes(row["text"])
+        copy = bool(held) and held[-1][1] == own
+        if copy:
+            own = held[-1][1]
+        else:
+            n_words = len(words(own))
+        cost = n_words * (PACKED_COPY if copy else PACKED_WORD)
+        if held and (size + len(own) > BENCHMARK_BYTES or packed + cost > BROADCAST_BYTES):
+            yield held
+            held, size, packed, cost = [], 0, 0, n_words * PACKED_WORD
+        held.append((item, own))
+        size, packed = size + len(own), packed + cost
+    yield held
+
+
+def _packed_blocks(items: list[tuple[int, bytes]], window: int) -> Iterator[Benchmark]:
+    """A block ready to be broadcast, halved as long as it takes more than BROADCAST_BYTES."""
+    bench = Benchmark(items, window)
+    if len(items) < 2 or bench.n_bytes <= BROADCAST_BYTES:
+        yield bench
+        return
+    del bench
+    half = len(items) // 2
+    yield from _packed_blocks(items[:half], window)
+    yield from _packed_blocks(items[half:], window)
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -207,7 +244,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
     repeat an item's id are one item. Columns called n_words or matches are replaced.
     """
     kept = docs.drop("n_words", "matches")
-    parts = [_search_pass(kept, items, window) for items in _blocks_of(benchmark)]
+    parts = [_search_pass(kept, b) for items in _blocks_of(benchmark) for b in _packed_blocks(items, window)]
     out = parts[0]
     if len(parts) > 1:  # the same rows come from each pass; their matches are put together
         names = kept.columns

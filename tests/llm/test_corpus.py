@@ -199,6 +199,29 @@ def test_decontaminate(spark, monkeypatch, block_bytes):
     assert nothing == 0
 
 
+def test_copies_of_an_item_are_dealt_by_size(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", 300)
+    copied = "one two three four five six seven eight nine ten eleven twelve"
+    items = [(i, copied) for i in range(30)] + [(3, copied), (40, "alpha beta"), (41, "gamma " * 90), (42, "")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate._blocks_of(frame))
+    assert sorted((i, t.decode()) for b in blocks for i, t in b) == sorted({x for x in items if x[1]})
+    assert all(len(b) == 1 or sum(len(t) for _, t in b) <= 300 for b in blocks)
+    rows = [(1, f"x {copied} y"), (2, "alpha beta"), (3, "gamma " * 12), (4, "delta")]
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), frame)
+    picked = got.select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()
+    assert order(map(tuple, picked)) == order(contaminated(rows, items))
+
+
+def test_packed_blocks_are_of_a_checked_size(monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 4000)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(20)).encode()) for i in range(8)]
+    benches = list(decontaminate._packed_blocks(items, 10))
+    assert len(benches) > 1
+    assert all(b.n_bytes <= 4000 or len(set(b.items.tolist())) == 1 for b in benches)
+    assert sorted({i for b in benches for i in b.items.tolist()}) == list(range(8))
+
+
 def test_longest_matches_have_places(spark):
     item = " ".join(f"t{i}" for i in range(30))
     text = "a b " + " ".join(f"t{i}" for i in range(5, 25)) + " c " + " ".join(f"t{i}" for i in range(12))
