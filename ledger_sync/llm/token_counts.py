@@ -1,7 +1,7 @@
 """Numbers of tokens by a byte-level BPE tokenizer, without shuffling a word.
 
-Texts are cut into words (a space and what follows it), which the tokenizer never joins. A first
-pass counts them task by task and merges only each task's most frequent ones; the lengths of the
+Texts are cut into words (a space and what follows it) and runs of other white space, which the
+tokenizer never joins. Only a text with a special token in it is encoded whole. A first pass counts them task by task and merges only each task's most frequent ones; the lengths of the
 most frequent of all go to every worker as a table of a fixed size. In the second pass a word is
 looked up there, then among those its worker has met lately; what is left of a block of texts is
 encoded in one call.
@@ -13,6 +13,7 @@ import hashlib
 import json
 import os
 import pickle
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -31,6 +32,28 @@ COUNTED_WORDS = 1 << 18
 #: The longest word in the table, and words a worker remembers.
 WORD_CHARS = 48
 CACHE_WORDS = 1 << 18
+CACHE_CHARS = 1 << 25
+
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # as the library has them
+#: The last of several white space characters goes with what follows, if it is a space, or stands alone.
+_PARTS = re.compile(f"[{_SPACES}]+(?![^{_SPACES}])| ?[^{_SPACES}]+|[{_SPACES}]")
+
+
+def _key(part: str) -> str:
+    """How a part is looked up: a word without its space; a space goes before all other parts."""
+    return part[1:] if part[0] == " " and not part.isspace() else " " + part
+
+
+def _part(key: str) -> str:
+    return key[1:] if key[0] == " " else " " + key
+
+
+def cut(text: str) -> tuple[str, list[str]]:
+    """What the text begins with, and the keys of the parts that follow; each is encoded apart."""
+    words = words_of(text)
+    if words is not None:
+        return words[0], words[1:]
+    return "", list(map(_key, _PARTS.findall(text)))
 
 
 class _Tokenizer:
@@ -50,15 +73,14 @@ class _Tokenizer:
         self.library.no_padding()
         self.special = [token["content"] for token in spec["added_tokens"]]
         self.latest: dict[str, int] = {}
+        self.latest_chars = 0
 
     def lengths(self, texts: list[str]) -> list[int]:
         return [len(x.ids) for x in self.library.encode_batch(texts, add_special_tokens=False)]
 
-    def words(self, text: str) -> list[str] | None:
-        """The words, each with its space; None if the text has to be encoded whole."""
-        if any(s in text for s in self.special):
-            return None
-        return words_of(text)
+    def cut(self, text: str) -> tuple[str, list[str]]:
+        """As ``cut``; a text with a special string is left whole."""
+        return (text, []) if any(s in text for s in self.special) else cut(text)
 
 
 _tokenizers: dict[str, _Tokenizer] = {}
@@ -73,13 +95,13 @@ def _tokenizer(content: bytes) -> _Tokenizer:
 
 
 def frequent_words(docs: DataFrame) -> list[str]:
-    """The words that are frequent in the whole corpus, TABLE_WORDS at most, without their space."""
+    """The words that are frequent in the whole corpus, TABLE_WORDS at most, as keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for block in blocks(batches):
             for text in as_bytes(block.column("text")):
-                counts.update((words_of(text.decode()) or [])[1:])
+                counts.update(cut(text.decode())[1])
             if len(counts) > COUNTED_WORDS:
                 counts = Counter(dict(counts.most_common(COUNTED_WORDS // 2)))
         short = ((w, n) for w, n in counts.items() if len(w) <= WORD_CHARS and n > 1)
@@ -105,7 +127,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
     content = file_bytes(tokenizer_path)
     tokenizer = broadcast_bytes(spark, content, tokenizer_path)
     words = frequent_words(docs)
-    lengths = _tokenizer(content).lengths([" " + w for w in words]) if words else []
+    lengths = _tokenizer(content).lengths(list(map(_part, words))) if words else []
     table = spark.sparkContext.broadcast(pickle.dumps(list(zip(words, lengths))))
     known: dict[str, int] = {}  # filled once in each worker
 
@@ -114,22 +136,20 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int) -> DataFrame:
         if not known:
             known.update(pickle.loads(table.value) or [("", 1)])
         texts = [t.decode() for t in as_bytes(block.column("text"))]
-        cut = [own.words(t) for t in texts]
-        if len(own.latest) > CACHE_WORDS:
+        heads, keys = zip(*map(own.cut, texts))
+        if len(own.latest) > CACHE_WORDS or own.latest_chars > CACHE_CHARS:
             own.latest.clear()
+            own.latest_chars = 0
         latest = own.latest
-        wanted = set().union(*(c[1:] for c in cut if c is not None))
-        wanted = [w for w in wanted if w not in known and w not in latest]
-        latest.update(zip(wanted, own.lengths([" " + w for w in wanted])))
-        heads = [t if c is None else c[0] for t, c in zip(texts, cut)]
-        totals = own.lengths(heads)
-        for i, c in enumerate(cut):
-            if c is None:
-                continue
-            found = list(map(known.get, c[1:], repeat(0)))
+        wanted = [w for w in set().union(*keys) if w not in known and w not in latest]
+        latest.update(zip(wanted, own.lengths(list(map(_part, wanted)))))
+        own.latest_chars += sum(map(len, wanted))
+        totals = own.lengths(list(heads))
+        for i, c in enumerate(keys):
+            found = list(map(known.get, c, repeat(0)))
             total = sum(found)
             if 0 in found:
-                total += sum(latest[w] for w, n in zip(c[1:], found) if not n)
+                total += sum(latest[w] for w, n in zip(c, found) if not n)
             totals[i] += total
         n_bytes = [len(t.encode()) for t in texts]
         return {

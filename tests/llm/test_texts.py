@@ -110,6 +110,20 @@ def test_frequent_words_may_hold_nul(spark):
     assert order(tuple(r)[:3] for r in token_counts.token_counts(docs, JSON, 50).collect()) == want
 
 
+def test_texts_with_odd_white_space_are_cut(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    n = lambda t: len(tokenizer.encode(t, add_special_tokens=False).ids)
+    rng, spaces = random.Random(3), [chr(c) for c in (*range(9, 14), 0x85, 0xA0, 0x2003, 0x3000)]
+    made = ["".join(rng.choice([*spaces, " ", " ", "\n", "ab", "c's", "!", "\x1c"]) for _ in range(30)) for _ in range(500)]
+    for text in [t for t in [*_random_texts(2000), *made, " ", "  a", "a  ", "a \n"] if "<|" not in t]:
+        head, keys = token_counts.cut(text)
+        parts = [head, *map(token_counts._part, keys)]
+        assert "".join(parts) == text and sum(map(n, parts)) == n(text), text
+        assert not any(p.strip(" ").count("\t") and p.strip() for p in parts)
+    found = token_counts.frequent_words(documents(spark, [(1, "if  x:\n\treturn  x"), (2, "\treturn  x  ")]).coalesce(1))
+    assert {"x", " return"} <= set(found)
+
+
 def _measures(text):
     text, ws = text or "", words(text)
     windows = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
