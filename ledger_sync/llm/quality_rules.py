@@ -130,21 +130,25 @@ def passes(policy: Policy) -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(policy.mask).cast("long")) == 0
 
 
-def ablations(rows: DataFrame, policy: Policy) -> DataFrame:
-    """A row (version, rule, n_failed, n_failed_alone, n_kept, n_kept_without) for each rule of a policy.
+def ablations(rows: DataFrame, *policies: Policy) -> DataFrame:
+    """A row (rule, version, n_failed, n_failed_alone, n_kept, n_kept_without) for each rule of each policy.
 
-    Rows of the ledger are counted by their bits first: there are at most 2 to the number of rules.
+    Rows of the ledger are counted by their bits first, in one pass for all policies: there are at
+    most 2 to the number of rules.
     """
-    masked = F.col("fail_bits").bitwiseAND(F.lit(policy.mask).cast("long"))
-    counts = rows.groupBy(masked.alias("bits")).agg(F.count("*").alias("n"))
-    own = [r for r in RULES if r.name in policy.rules]
-    rules = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(1 << r.bit).alias("bit")) for r in own]))
-    each = counts.select("bits", "n", rules.alias("r")).select("bits", "n", "r.*")
+    counts = rows.groupBy("fail_bits").agg(F.count("*").alias("n"))
+    own = [(p, r) for p in policies for r in RULES if r.name in p.rules]
+    long = lambda n: F.lit(n).cast("long")
+    fields = [
+        F.struct(F.lit(r.name).alias("rule"), F.lit(p.version).alias("version"), long(p.mask).alias("mask"), long(1 << r.bit).alias("bit"))
+        for p, r in own
+    ]
+    each = counts.select("fail_bits", "n", F.explode(F.array(*fields)).alias("r")).select("fail_bits", "n", "r.*")
+    bits = F.col("fail_bits").bitwiseAND(F.col("mask"))
     total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
-    alone, kept = F.col("bits") == F.col("bit"), F.col("bits") == 0
-    return each.groupBy("rule").agg(
-        F.lit(policy.version).alias("version"),
-        total(F.col("bits").bitwiseAND(F.col("bit").cast("long")) != 0).alias("n_failed"),
+    alone, kept = bits == F.col("bit"), bits == 0
+    return each.groupBy("rule", "version").agg(
+        total(bits.bitwiseAND(F.col("bit")) != 0).alias("n_failed"),
         total(alone).alias("n_failed_alone"),
         total(kept).alias("n_kept"),
         total(alone | kept).alias("n_kept_without"),

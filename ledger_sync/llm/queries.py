@@ -14,7 +14,7 @@ from .decontaminate import decontaminate
 from .license_scan import TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .quality_classifier import score_quality
-from .quality_rules import BASE, CURRENT, ledger, passes
+from .quality_rules import BASE, CURRENT, ablations, ledger, passes
 from .sharding import shard
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
@@ -22,6 +22,8 @@ from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Further queries of an operator, whose rows are not documents.
+FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(sql: str | None = None):
@@ -151,6 +153,14 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *measures, (~passes(BASE)).alias("base_failed"), passes(CURRENT).alias("kept"))
 
 
+def op4_quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of both policies takes out, from the failure bits of all documents."""
+    return ablations(ledger(documents(spark, folder)), BASE, CURRENT)
+
+
+FURTHER["op4_quality_ablations"] = op4_quality_ablations
+
+
 @query()
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     scored = score_quality(documents(spark, folder), table(spark, folder, "labels"))

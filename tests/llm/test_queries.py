@@ -41,3 +41,16 @@ def test_query_equals_sql(spark, duck, name):
 def test_every_document_has_its_row(spark, name):
     docs = sorted(r[0] for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect())
     assert sorted(r["doc_id"] for r in QUERIES[name](spark, DATA).collect()) == docs
+
+
+def test_ablations_run_over_all_documents(spark):
+    from __spark_entry__ import queries
+
+    kept = QUERIES["op4_quality_rules"](spark, DATA).select("base_failed", "kept").collect()
+    got = {(r["version"], r["rule"]): r for r in queries()["op4_quality_ablations"](spark, DATA).collect()}
+    assert len(got) == 8
+    for version, n in ((1, sum(not r["base_failed"] for r in kept)), (2, sum(r["kept"] for r in kept))):
+        own = [r for (v, _), r in got.items() if v == version]
+        assert {r["n_kept"] for r in own} == {n}
+        assert all(r["n_kept_without"] == n + r["n_failed_alone"] and r["n_failed"] >= r["n_failed_alone"] for r in own)
+        assert sum(r["n_failed_alone"] for r in own) <= len(kept) - n <= sum(r["n_failed"] for r in own)
