@@ -59,7 +59,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
         print(summary(run_batch(spark, *paths, warehouse, batch=args.batch, **options)))
         return
     ingest_new_files(
-        warehouse, args.users, args.transactions, args.checkpoint, multiline=args.multiline, **options
+        warehouse, args.users, args.transactions, args.checkpoint,
+        multiline=args.multiline or None, **options
     ).awaitTermination()
     print(f"version {warehouse.version()}, watermark {warehouse.watermark()}")
 

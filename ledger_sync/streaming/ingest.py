@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,7 +12,9 @@ from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.schemas import (
     BLOCK, FILE, RECORD, REASON, TRANSACTION_COLUMNS, TRANSACTIONS, USER_COLUMNS, USERS,
 )
-from ledger_sync.sources.extracts import place, stream_csv_extract
+from ledger_sync.sources.extracts import (
+    has_line_breaks, place, read_csv_extract, stream_csv_extract,
+)
 
 _TABLE = "_table"
 
@@ -21,7 +25,7 @@ def ingest_new_files(
     transactions_dir: str,
     checkpoint: str,
     name: str = "ingest",
-    multiline: bool = False,
+    multiline: bool | None = None,
     **options,
 ) -> StreamingQuery:
     """Load the files that arrived since the last run, then stop.
@@ -30,10 +34,15 @@ def ingest_new_files(
     in a batch load, and users and transactions that arrive together are published together. A version carries the name and number of its micro-batch; if a batch is replayed
     after a failure, a version it has already published is left alone. ``options`` are those
     of ``load_batch``.
+
+    ``multiline`` reads line breaks in quoted text. Where it is not given, the new files are looked
+    through for a quote that stays open, and a table's files are read again if one does.
     """
     spark = warehouse.spark
-    users = stream_csv_extract(spark, users_dir, USER_COLUMNS, multiline)
-    transactions = stream_csv_extract(spark, transactions_dir, TRANSACTION_COLUMNS, multiline)
+    users = stream_csv_extract(spark, users_dir, USER_COLUMNS, bool(multiline))
+    transactions = stream_csv_extract(
+        spark, transactions_dir, TRANSACTION_COLUMNS, bool(multiline)
+    )
     both = users.withColumn(_TABLE, F.lit(USERS)).unionByName(
         transactions.withColumn(_TABLE, F.lit(TRANSACTIONS)), allowMissingColumns=True
     )
@@ -41,8 +50,8 @@ def ingest_new_files(
     def publish(rows: DataFrame, number: int) -> None:
         load_batch(
             warehouse,
-            _table_of(rows, USERS, USER_COLUMNS),
-            _table_of(rows, TRANSACTIONS, TRANSACTION_COLUMNS),
+            _table_of(rows, USERS, USER_COLUMNS, multiline is None),
+            _table_of(rows, TRANSACTIONS, TRANSACTION_COLUMNS, multiline is None),
             batch=f"{name}:{number}",
             **options,
         )
@@ -51,6 +60,10 @@ def ingest_new_files(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _table_of(rows: DataFrame, table: str, columns: tuple[str, ...]) -> DataFrame:
+def _table_of(rows: DataFrame, table: str, columns: tuple[str, ...], look: bool) -> DataFrame:
     mine = rows.where(F.col(_TABLE) == table)
+    if look:
+        paths = sorted(unquote(row[FILE]) for row in mine.select(FILE).distinct().collect())
+        if paths and has_line_breaks(mine.sparkSession, paths):
+            return read_csv_extract(mine.sparkSession, paths, columns, multiline=True)
     return place(mine.select(*columns, FILE, BLOCK, REASON, RECORD))
