@@ -259,7 +259,8 @@ class Warehouse:
     def write_users(self, df: DataFrame, version: int) -> list[Entry]:
         """Write users into one folder per bucket and list the buckets that have rows."""
         path, prefix = f"{USERS}/v={version}", f"{BUCKET}="
-        dealt = df.withColumn(BUCKET, self.bucket_of(F.col("userid"))).hint("rebalance", F.col(BUCKET))
+        typed = _typed(df, self.limits.users())
+        dealt = typed.withColumn(BUCKET, self.bucket_of(F.col("userid"))).hint("rebalance", F.col(BUCKET))
         ordered = dealt.sortWithinPartitions(BUCKET, "userid")
         ordered.write.partitionBy(BUCKET).parquet(f"{self.root}/{path}")
         folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
@@ -272,7 +273,8 @@ class Warehouse:
         ranges of ids, so that a later upsert can skip those without a key of its batch.
         """
         path, prefix = f"{TRANSACTIONS}/v={version}", f"{PERIOD}="
-        ordered = df.sortWithinPartitions(PERIOD, "transactionid")
+        typed = _typed(df, self.limits.transactions().add(PERIOD, "date"))
+        ordered = typed.sortWithinPartitions(PERIOD, "transactionid")
         writer = ordered.write.option("parquet.bloom.filter.enabled#transactionid", "true")
         writer.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
         folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
@@ -340,5 +342,10 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).where(F.lit(False)).select(*columns)
 
 
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The table's columns in the table's types, as it is read with; a value beyond them raises."""
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
