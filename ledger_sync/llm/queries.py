@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_decode
 from .common import table, text_digest
 from .decontaminate import decontaminate
+from .filter_audit import filter_audit
 from .license_scan import TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .quality_classifier import score_quality
@@ -249,3 +250,49 @@ FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN removed r ON r.doc_id =
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup(documents(spark, folder), window=35)
     return kept.select("doc_id", "n_words", "n_removed", text_digest(F.col("text")).alias("kept_sha256"))
+
+
+# Sums for each pattern of failures, held against each step of each order.
+_OP11_SQL = """
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+flags AS (
+  SELECT doc_id, part, CAST(len(ws) < 50 AS INT)
+         + 2 * CAST(100 * len(list_distinct(ws)) < 65 * len(ws) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+         + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY text) AS INT) AS fails FROM words),
+patterns AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good,
+         count(*) FILTER (WHERE toxic = 1) AS toxic
+  FROM flags f LEFT JOIN labels l ON l.doc_id = f.doc_id GROUP BY part, fails),
+bits AS (SELECT unnest(range(5)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM bits a, bits b, bits c, bits d, bits e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (
+  SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', x + 1, 1)), '') AS filter_order, s AS step,
+         o[s] AS f, CAST(coalesce(list_sum(list_transform(o[1:s - 1], lambda x: 1 << x)), 0) AS BIGINT) AS before
+  FROM (SELECT o, unnest(range(1, 6)) AS s FROM orders)),
+counts AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN fails & (before | (1 << f)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN fails & (1 << f) <> 0 AND fails & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails & (1 << f) <> 0 AND fails & before <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = 1 << f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails & (1 << f) <> 0 AND fails & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN fails & (1 << f) <> 0 AND fails & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM patterns, steps
+  GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counts"""
+
+
+@query(_OP11_SQL)
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
