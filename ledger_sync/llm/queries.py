@@ -18,6 +18,7 @@ from .quality_classifier import score_quality
 from .quality_rules import BASE, CURRENT, ablations, ledger, passes
 from .sharding import shard
 from .simhash import simhash_groups
+from .spelling import spelling_variants, word_counts
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 
@@ -296,3 +297,9 @@ FROM counts"""
 @query(_OP11_SQL)
 def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = word_counts(documents(spark, folder), min_length=6, min_count=5, typo_every=199)
+    return spelling_variants(words, ratio=5)
