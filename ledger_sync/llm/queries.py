@@ -21,6 +21,7 @@ from .simhash import simhash_groups
 from .spelling import spelling_variants, word_counts
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
+from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -299,6 +300,12 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query()
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = score_toxicity(documents(spark, folder), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query()
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     words = word_counts(documents(spark, folder), min_length=6, min_count=5, typo_every=199)
