@@ -30,9 +30,7 @@ from ledger_sync.schemas import (
     METADATA, RECORD, REASON, SCRIPT, TRANSACTION_COLUMNS, TRANSACTION_SINK_COLUMNS, TRANSACTIONS,
     UNDATED, USER_COLUMNS, USERS, Preset,
 )
-from ledger_sync.sources.extracts import (
-    date_form_of, date_form_of_files, has_line_breaks, read_csv_extract,
-)
+from ledger_sync.sources.extracts import csv_extract, date_form_of
 
 
 #: Ranges that the keys of a batch are summed up in.
@@ -96,18 +94,17 @@ def run_batch(
     multiline: bool | None = None,
     **options,
 ) -> Report:
-    """The whole daily run on two CSV extracts. See ``load_batch`` for the options.
+    """The whole daily run on two CSV extracts, whose files may each have their header in any order
+    and letter case. See ``load_batch`` for the options.
 
     ``multiline`` reads line breaks in quoted text, but does not split files. Where it is not
-    given, the lines are looked through for a quote that stays open.
+    given, it is used for an extract with a quote that stays open on some line.
     """
-    if multiline is None:
-        multiline = has_line_breaks(spark, users_path) or has_line_breaks(spark, transactions_path)
-    users = read_csv_extract(spark, users_path, USER_COLUMNS, multiline)
-    transactions = read_csv_extract(spark, transactions_path, TRANSACTION_COLUMNS, multiline)
+    users = csv_extract(spark, users_path, USER_COLUMNS)
+    transactions = csv_extract(spark, transactions_path, TRANSACTION_COLUMNS)
     if options.get("date_form") is None:
-        options["date_form"] = date_form_of_files(transactions, multiline)
-    return load_batch(warehouse, users, transactions, **options)
+        options["date_form"] = transactions.date_form(multiline)
+    return load_batch(warehouse, users.rows(multiline), transactions.rows(multiline), **options)
 
 
 def load_batch(

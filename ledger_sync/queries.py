@@ -33,7 +33,7 @@ from ledger_sync.schemas import (
     Preset,
 )
 from ledger_sync.session import scratch_path
-from ledger_sync.sources.extracts import date_form_of_files, land_rows, read_csv_extract
+from ledger_sync.sources.extracts import csv_extract, land_rows, read_csv_extract
 from ledger_sync.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -555,8 +555,8 @@ def csv_roundtrip_transactions(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "lines-csv")
     lines = lines_of(spark, folder)
     _write_extract(_as_text(lines), [*_LINE_ORDER, "transactionid"], path)
-    landed = read_csv_extract(spark, path, TRANSACTION_COLUMNS)
-    parsed = parse_transactions(landed, date_form_of_files(landed))
+    extract = csv_extract(spark, path, TRANSACTION_COLUMNS)
+    parsed = parse_transactions(extract.rows(), extract.date_form())
     return clean_transactions(parsed, LINE_CAP).select(*TRANSACTION_COLUMNS)
 
 
@@ -925,8 +925,51 @@ def header_any_order(spark: SparkSession, folder: str) -> DataFrame:
     rows = _as_text(transactions_of(spark, folder)).withColumn("note", F.lit("x"))
     names = ["method", "note", "userId", "DATE", "amount", "Type", "status", "TransactionID"]
     rows.select(*[F.col(n.lower()).alias(n) for n in names]).write.option("header", True).csv(path)
-    landed = read_csv_extract(spark, path, TRANSACTION_COLUMNS)
-    return parse_transactions(landed, date_form_of_files(landed)).select(*TRANSACTION_COLUMNS)
+    extract = csv_extract(spark, path, TRANSACTION_COLUMNS)
+    return parse_transactions(extract.rows(), extract.date_form()).select(*TRANSACTION_COLUMNS)
+
+
+@query(f"""
+WITH {TXNS_SQL}
+SELECT transactionid, userid, CAST(amount AS DOUBLE) AS amount, type, date, status, method FROM txns""")
+def headers_that_differ(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of one extract whose headers differ in order, letter case and further columns."""
+    path = scratch_path(spark, "headers")
+    _arrive_with_headers(_as_text(transactions_of(spark, folder)), path)
+    extract = csv_extract(spark, path, TRANSACTION_COLUMNS)
+    return parse_transactions(extract.rows(), extract.date_form()).select(*TRANSACTION_COLUMNS)
+
+
+def _arrive_with_headers(rows: DataFrame, path: str) -> None:
+    """Write a third of the rows under each of three headers."""
+    headers = (
+        ["method", "note", "userId", "DATE", "amount", "Type", "status", "TransactionID"],
+        [*TRANSACTION_COLUMNS],
+        ["Date", "TransactionId", "type", "status", "method", "AMOUNT", "USERID", "more", "note"],
+    )
+    rows = rows.withColumns({"note": F.lit("x"), "more": F.lit("a, b")})
+    for i, names in enumerate(headers):
+        part = rows.where(F.abs("transactionid") % 3 == i).select(*[F.col(n.lower()).alias(n) for n in names])
+        part.write.mode("append").option("header", True).csv(path)
+
+
+@query(f"""
+WITH {EVENTS_SQL}
+SELECT c_custkey AS userid,
+       CAST(CAST(c_acctbal AS DECIMAL(10,2)) + COALESCE(net, 0) AS DECIMAL(22,2)) AS balance
+FROM customer LEFT JOIN (
+  SELECT userid, SUM(CASE type WHEN 'credit' THEN amount WHEN 'debit' THEN -amount END) AS net
+  FROM event_txns WHERE status = 'completed' GROUP BY userid) ON c_custkey = userid""")
+def stream_headers_that_differ(spark: SparkSession, folder: str) -> DataFrame:
+    """One round of new files, each with a header of its own."""
+    base = scratch_path(spark, "stream-headers")
+    warehouse = Warehouse(spark, f"{base}/warehouse", WIDE, "month").init()
+    _arrive_with_headers(_as_text(event_transactions_of(spark, folder)), f"{base}/transactions")
+    users_of(spark, folder).select(*USER_COLUMNS).write.option("header", True).csv(f"{base}/users")
+    ingest_new_files(
+        warehouse, f"{base}/users", f"{base}/transactions", f"{base}/checkpoint", balances="net_changes"
+    ).awaitTermination()
+    return warehouse.users().select("userid", "balance")
 
 
 @query("""

@@ -10,10 +10,13 @@ CSV files land as text, other sources in their own types, with lowercase names p
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from ledger_sync.functions.parsing import form_of, null_if_token
 from ledger_sync.schemas import BLOCK, DATE_FORM, FILE, FILE_ORDER, RECORD, REASON, ROW
@@ -26,9 +29,10 @@ _OPEN_QUOTE = r'(?:^|,)"(?:[^"]|"")*$'
 def read_csv_extract(
     spark: SparkSession, path: str | list[str], columns: Sequence[str], multiline: bool = False
 ) -> DataFrame:
-    """Land a CSV extract whose header may come in any order and letter case.
+    """Land a CSV extract whose files have one header, in any order and letter case.
 
-    ``multiline`` accepts line breaks inside quotes, but then a file is not split.
+    ``multiline`` accepts line breaks inside quotes, but then a file is not split. Unlike
+    ``csv_extract``, this does not look through the text first: a file with another header fails.
     """
     header = [c.lower() for c in spark.read.option("header", True).csv(path).columns]
     _require(header, columns)
@@ -36,29 +40,87 @@ def read_csv_extract(
     return place(_flag_long_rows(locate(reader.csv(path)), len(header), columns))
 
 
-def has_line_breaks(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether quoted text goes on in another line, as only ``multiline`` can read it."""
-    return not spark.read.text(path).where(F.col("value").rlike(_OPEN_QUOTE)).isEmpty()
+@dataclass(frozen=True)
+class Extract:
+    """The files of a CSV extract, each with its own header in lowercase.
+
+    line_breaks  quoted text goes on in another line somewhere, as only ``multiline`` can read it."""
+
+    spark: SparkSession
+    columns: tuple[str, ...]
+    headers: dict[str, tuple[str, ...]]
+    line_breaks: bool
+
+    def rows(self, multiline: bool | None = None) -> DataFrame:
+        """Land all files. Those with the same header are one read."""
+        parts = [self._read(h, sorted(paths), multiline) for h, paths in sorted(self._alike().items())]
+        if not parts:
+            none = self.spark.createDataFrame([], _text_schema(self.columns))
+            parts = [none.select(*self.columns, *_no_place())]
+        landed = parts[0]
+        for part in parts[1:]:
+            landed = landed.unionByName(part)
+        return place(landed)
+
+    def date_form(self, multiline: bool | None = None) -> str:
+        """The form of the first date, by file name: as a rule a read of one file's first block."""
+        for path in sorted(self.headers):
+            dates = self._read(self.headers[path], [path], multiline, ("date",))
+            row = dates.select(null_if_token(F.col("date")).alias("date")).dropna().first()
+            if row is not None:
+                return form_of(row["date"])
+        return DATE_FORM
 
+    def _alike(self) -> dict[tuple[str, ...], list[str]]:
+        found: dict[tuple[str, ...], list[str]] = {}
+        for path, header in self.headers.items():
+            found.setdefault(header, []).append(path)
+        return found
+
+    def _read(
+        self, header: tuple[str, ...], paths: list[str], multiline: bool | None, columns: Sequence[str] = ()
+    ) -> DataFrame:
+        options = _csv_options(self.line_breaks if multiline is None else multiline)
+        reader = self.spark.read.schema(_text_schema(header)).options(**options)
+        return _flag_long_rows(locate(reader.csv(paths)), len(header), columns or self.columns)
+
+
+def csv_extract(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> Extract:
+    """An extract whose files may each have their header in any order and letter case. Its text is
+    looked through once, for the headers and for quotes that stay open."""
+    found = extract_of(text_lines(spark.read, path), columns)
+    if not found.headers:
+        raise ValueError(f"extract has no column {', '.join(columns)}; it has no line")
+    return found
+
+
+def text_lines(reader: DataFrameReader | DataStreamReader, path: str | list[str]) -> DataFrame:
+    """The lines of text files and where they come from, in a batch or on a stream."""
+    return locate(reader.text(path)).select("value", FILE, BLOCK)
 
-def stream_csv_extract(
-    spark: SparkSession,
-    path: str,
-    columns: Sequence[str],
-    multiline: bool = False,
-) -> DataFrame:
-    """The streaming twin: each file is read once. All files of a run have the same header, in any
-    order and letter case; one with another header stops the run.
 
-    ``place`` has to be called on each micro-batch, as row ids do not exist on a stream.
+def extract_of(lines: DataFrame, columns: Sequence[str]) -> Extract:
+    """What ``text_lines`` tell of their files; files without a line are left out.
+
+    A header is the first line that names all ``columns``; if other lines come before, reading the
+    file fails. One row for each file leaves the last task.
     """
-    try:
-        header = [c.lower() for c in spark.read.option("header", True).csv(path).columns]
-    except AnalysisException:  # no file has arrived
-        header = list(columns)
-    _require(header, columns)
-    reader = spark.readStream.schema(_text_schema(header)).options(**_csv_options(multiline))
-    return _flag_long_rows(locate(reader.csv(path)), len(header), columns)
+    value, spark = F.col("value"), lines.sparkSession
+    fields = F.split(F.lower(F.replace(value, F.lit('"'), F.lit(""))), ",")
+    is_header = F.size(F.array_except(F.array(*map(F.lit, columns)), F.transform(fields, F.trim))) == 0
+    # Grouped by the line as well, if it is a header: fixed-size sums, which need no sort of the lines.
+    seen = place(lines.where(F.trim(value) != "")).groupBy(
+        FILE, F.when(F.contains(F.lower(value), F.lit(columns[0])) & is_header, value).alias("line")
+    )
+    seen = seen.agg(F.max(value.rlike(_OPEN_QUOTE)).alias("open"), F.min(BLOCK).alias(BLOCK), F.min(ROW).alias(ROW))
+    first = F.min(F.when(F.col("line").isNotNull(), F.struct(BLOCK, ROW, "line")))
+    files = seen.groupBy(FILE).agg(F.max("open").alias("open"), first.alias("first")).collect()
+    headers = {}
+    for row in files:
+        header = next(csv.reader([row["first"]["line"]])) if row["first"] else []
+        headers[unquote(row[FILE])] = tuple(name.strip().lower() for name in header)
+        _require(headers[unquote(row[FILE])], columns, unquote(row[FILE]))
+    return Extract(spark, tuple(columns), headers, any(row["open"] for row in files))
 
 
 def land_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -72,24 +134,11 @@ def land_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return place(
         lower.select(
             *columns,
-            F.lit("").alias(FILE),
-            F.lit(0).cast("bigint").alias(BLOCK),
-            F.lit(None).cast("string").alias(REASON),
-            F.lit(None).cast("string").alias(RECORD),
+            *_no_place(),
         )
     )
 
 
-def date_form_of_files(landed: DataFrame, multiline: bool = False) -> str:
-    """The form of the first date, by file name: as a rule a read of one file's first block."""
-    for path in sorted(landed.inputFiles()):
-        extract = read_csv_extract(landed.sparkSession, path, ["date"], multiline)
-        row = extract.select(null_if_token(F.col("date")).alias("date")).dropna().first()
-        if row is not None:
-            return form_of(row["date"])
-    return DATE_FORM
-
-
 def date_form_of(landed: DataFrame) -> str:
     """The form of the first date in file order, from a pass over the date column alone."""
     if not isinstance(landed.schema["date"].dataType, T.StringType):
@@ -99,6 +148,15 @@ def date_form_of(landed: DataFrame) -> str:
     return form_of(row and row["date"])
 
 
+def _no_place() -> list[Column]:
+    return [
+        F.lit("").alias(FILE),
+        F.lit(0).cast("bigint").alias(BLOCK),
+        F.lit(None).cast("string").alias(REASON),
+        F.lit(None).cast("string").alias(RECORD),
+    ]
+
+
 def locate(df: DataFrame) -> DataFrame:
     """Add the file path and the offset of the split a row comes from."""
     return df.select(
@@ -113,10 +171,12 @@ def place(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def _require(header: Sequence[str], columns: Sequence[str]) -> None:
+def _require(header: Sequence[str], columns: Sequence[str], path: str = "extract") -> None:
     missing = [c for c in columns if c not in header]
     if missing:
-        raise ValueError(f"extract has no column {', '.join(missing)}; it has {', '.join(header)}")
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(header)}")
+    if len(set(header)) < len(header):
+        raise ValueError(f"{path} has a column twice: {', '.join(header)}")
 
 
 def _text_schema(header: Sequence[str]) -> T.StructType:

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledger_sync.plans.load import load_batch
 from ledger_sync.plans.warehouse import Warehouse
-from ledger_sync.schemas import (
-    BLOCK, FILE, RECORD, REASON, TRANSACTION_COLUMNS, TRANSACTIONS, USER_COLUMNS, USERS,
-)
-from ledger_sync.sources.extracts import (
-    has_line_breaks, place, read_csv_extract, stream_csv_extract,
-)
+from ledger_sync.schemas import TRANSACTION_COLUMNS, TRANSACTIONS, USER_COLUMNS, USERS
+from ledger_sync.sources.extracts import extract_of, text_lines
 
 _TABLE = "_table"
 
@@ -31,39 +25,32 @@ def ingest_new_files(
     """Load the files that arrived since the last run, then stop.
 
     All new files of both folders are one micro-batch, so first in file order means the same as
-    in a batch load, and users and transactions that arrive together are published together. A version carries the name and number of its micro-batch; if a batch is replayed
-    after a failure, a version it has already published is left alone. ``options`` are those
-    of ``load_batch``.
-
-    ``multiline`` reads line breaks in quoted text. Where it is not given, the new files are looked
-    through for a quote that stays open, and a table's files are read again if one does.
+    in a batch load, and users and transactions that arrive together are published together. A
+    version carries the name and number of its micro-batch; if a batch is replayed after a
+    failure, a version it has already published is left alone. ``options`` are those of
+    ``load_batch``.
+
+    The stream is of lines, which tell what files are new, their headers (each in any order and
+    letter case) and whether a quote stays open; the files are then read as those of a batch load.
+    ``multiline`` reads line breaks in quoted text; where it is not given, it is used for a table
+    with a quote that stays open. A file that lacks a column stops the run.
     """
     spark = warehouse.spark
-    users = stream_csv_extract(spark, users_dir, USER_COLUMNS, bool(multiline))
-    transactions = stream_csv_extract(
-        spark, transactions_dir, TRANSACTION_COLUMNS, bool(multiline)
-    )
-    both = users.withColumn(_TABLE, F.lit(USERS)).unionByName(
-        transactions.withColumn(_TABLE, F.lit(TRANSACTIONS)), allowMissingColumns=True
+    users, transactions = (
+        text_lines(spark.readStream, folder).withColumn(_TABLE, F.lit(table))
+        for folder, table in ((users_dir, USERS), (transactions_dir, TRANSACTIONS))
     )
 
-    def publish(rows: DataFrame, number: int) -> None:
-        load_batch(
-            warehouse,
-            _table_of(rows, USERS, USER_COLUMNS, multiline is None),
-            _table_of(rows, TRANSACTIONS, TRANSACTION_COLUMNS, multiline is None),
-            batch=f"{name}:{number}",
-            **options,
-        )
-
-    writer = both.writeStream.queryName(name).foreachBatch(publish)
+    def publish(lines: DataFrame, number: int) -> None:
+        batch = f"{name}:{number}"
+        if warehouse.has_batch(batch):
+            return
+        sent = [
+            extract_of(lines.where(F.col(_TABLE) == table).drop(_TABLE), columns)
+            for table, columns in ((USERS, USER_COLUMNS), (TRANSACTIONS, TRANSACTION_COLUMNS))
+        ]
+        own = {"date_form": options.get("date_form") or sent[1].date_form(multiline)}
+        load_batch(warehouse, *[e.rows(multiline) for e in sent], batch=batch, **options | own)
+
+    writer = users.unionByName(transactions).writeStream.queryName(name).foreachBatch(publish)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def _table_of(rows: DataFrame, table: str, columns: tuple[str, ...], look: bool) -> DataFrame:
-    mine = rows.where(F.col(_TABLE) == table)
-    if look:
-        paths = sorted(unquote(row[FILE]) for row in mine.select(FILE).distinct().collect())
-        if paths and has_line_breaks(mine.sparkSession, paths):
-            return read_csv_extract(mine.sparkSession, paths, columns, multiline=True)
-    return place(mine.select(*columns, FILE, BLOCK, REASON, RECORD))
