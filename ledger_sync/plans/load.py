@@ -120,7 +120,8 @@ def load_batch(
     date_form: str | None = None,
     undated: str = "keep",
 ) -> Report:
-    """Load landed extracts and publish a new version of all tables, or none.
+    """Load landed extracts and publish a new version of all tables, or none. If another load
+    publishes meanwhile, this one raises ``Conflict`` and can be run again.
 
     policy    ``fail``: any rejected row aborts the load. ``quarantine``: rejected rows
               are written apart with their reason; a transaction that only lacks its user waits,
@@ -146,6 +147,7 @@ def load_batch(
         raise ValueError("set spark.sql.ansi.enabled: else a balance that overflows becomes null")
     if batch is not None and warehouse.has_batch(batch):
         return Report(warehouse.version(), skipped=True)
+    warehouse = warehouse.at()  # also if another load publishes meanwhile
 
     with _staging(warehouse) as staging:
         with ThreadPoolExecutor(2) as pool:  # the two extracts do not depend on each other
@@ -198,7 +200,7 @@ def load_batch(
         marks = warehouse.write_whole(METADATA, metadata, version)
         tables = [*buckets, *written, marks, *periods, *still_waiting, *rejects]
         warehouse.publish(version, tables, batch)
-    return Report(version, user_batch.counts, txn_batch.counts, warehouse.watermark())
+    return Report(version, user_batch.counts, txn_batch.counts, warehouse.at(version).watermark())
 
 
 @contextmanager

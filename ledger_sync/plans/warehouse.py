@@ -3,7 +3,8 @@
 Each load writes its tables under new ``v=<n>`` folders and, last, one manifest
 that names the current folder of every table and period. Readers follow the newest
 complete manifest, so a load that fails midway changes nothing: its number is not
-used again. One writer at a time.
+used again. Of two loads that began from the same version one is published, and the other fails:
+each version has one successor, and a file that only one load can create is the right to publish it.
 
     <root>/users/v=3/bucket=7/                   buckets of users rewritten by version 3
     <root>/transactions/v=3/period=2024-08-21/   periods rewritten by version 3
@@ -11,15 +12,22 @@ used again. One writer at a time.
     <root>/rejects/v=3/...                       quarantined rows of the batch
     <root>/waiting/v=3/...                       transactions whose user has not come yet
     <root>/manifest/v=3[-<batch digest>]/...     (batch, layout, table, period, path, keys)
+    <root>/claims/v=3, after=2-0                 number 3 is taken; so is the right to follow 2
 """
 
 from __future__ import annotations
 
+import copy
 import hashlib
+import re
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -30,6 +38,9 @@ from ledger_sync.schemas import (
 )
 
 PERIOD, BUCKET = "period", "bucket"
+#: Seconds after which a claim counts as left behind by a load that was lost as it published. While it
+#: holds its claim, a load only writes its manifest, one small file.
+CLAIM_SECONDS = 600
 _PERIODS = ("day", "month", "year")
 REJECTS = "rejects"
 WAITING = "waiting"
@@ -75,6 +86,10 @@ class Entry:
         return None if self.period in (None, _NULL_PERIOD) else date.fromisoformat(self.period)
 
 
+class Conflict(RuntimeError):
+    """Another load has published since this one began; nothing of this one has been."""
+
+
 class Warehouse:
     """``period`` and ``user_buckets`` set what an upsert rewrites: one period of transactions, or
     one bucket of users. Choose them so that one holds some GB."""
@@ -96,6 +111,17 @@ class Warehouse:
         self.user_buckets = user_buckets
         self.layout = f"{period}, {limits.key_type}, {limits.money}, {user_buckets} buckets"
         self._known: dict[int, list[Entry]] = {}
+        self._pinned: int | None = None
+
+    def at(self, version: int | None = None) -> Warehouse:
+        """The warehouse as it was published under a version (the newest one, if none is given),
+        whatever is published later. What is published through it has to be the first successor."""
+        version, manifests = self._published() if version is None else version, self._manifests()
+        if version not in manifests or not self._is_complete(manifests[version]):
+            raise ValueError(f"no version {version} at {self.root}")
+        pinned = copy.copy(self)
+        pinned._pinned = version
+        return pinned
 
     def init(self, watermark: datetime | str | None = SEED_WATERMARK) -> Warehouse:
         """Create empty tables and the control row, unless a version exists already."""
@@ -117,9 +143,12 @@ class Warehouse:
         return next((v for v in newest_first if self._is_complete(manifests[v])), None)
 
     def next_version(self) -> int:
-        """A number that no load has used, not even one that failed."""
-        folders = ("manifest", USERS, TRANSACTIONS, METADATA, REJECTS, WAITING)
-        return max((v for f in folders for v in self._numbered(f)), default=-1) + 1
+        """A number that no load has used, not even one that failed, nor takes at the same time."""
+        folders = ("manifest", USERS, TRANSACTIONS, METADATA, REJECTS, WAITING, "claims")
+        number = max((v for f in folders for v in self._numbered(f)), default=-1) + 1
+        while not create_file(self.spark, f"{self.root}/claims/v={number}"):
+            number += 1
+        return number
 
     def entries(self) -> list[Entry]:
         """The published folders: one per bucket of users, per period, and per whole table."""
@@ -150,7 +179,8 @@ class Warehouse:
         # The marker of a complete folder is what readers look for.
         writer = manifest.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         name = f"v={version}{_batch_ending(batch)}"
-        writer.mode("error").json(f"{self.root}/manifest/{name}")
+        with self._claim(self.version() if self._pinned is None else self._pinned):
+            writer.mode("error").json(f"{self.root}/manifest/{name}")
 
     # Reading
 
@@ -223,6 +253,9 @@ class Warehouse:
                 if version > kept[0] or path in named:
                     continue
                 old += [p for p in parts if p not in named] if named & set(parts) else [path]
+        for name in list_names(self.spark, f"{self.root}/claims"):
+            if int(re.sub(r".*=(\d+).*|.*", r"\1", name) or -1) < kept[0]:
+                old.append(f"claims/{name}")
         for path in old:
             remove_folder(self.spark, f"{self.root}/{path}")
         return old
@@ -284,9 +317,30 @@ class Warehouse:
         keys = {r[0] or _NULL_PERIOD: (r[1], r[2]) for r in ranges.collect()}
         return [replace(e, first_key=keys[e.period][0], last_key=keys[e.period][1]) for e in entries]
 
+    @contextmanager
+    def _claim(self, base: int | None) -> Iterator[None]:
+        """The right to publish the successor of a version while it is newest, or raise ``Conflict``.
+        A claim that a lost load left behind is passed over after CLAIM_SECONDS, by one load again."""
+        folder, number = f"{self.root}/claims", 0
+        while not create_file(self.spark, claim := f"{folder}/after={base}-{number}"):
+            changed = changed_at(self.spark, claim)
+            if changed is None:  # it has just been given back
+                continue
+            if self.version() != base or time.time() - changed < CLAIM_SECONDS:
+                raise Conflict(f"another load has published, or is about to, after version {base} at {self.root}")
+            number += 1
+        try:
+            if self.version() != base:
+                raise Conflict(f"another load has published after version {base} at {self.root}")
+            yield
+        finally:
+            remove_folder(self.spark, claim)
+
     # Files
 
     def _published(self) -> int:
+        if self._pinned is not None:
+            return self._pinned
         version = self.version()
         if version is None:
             raise RuntimeError(f"no published warehouse at {self.root}; call init() first")
@@ -322,6 +376,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Whether an empty file could be created; as atomic as the file system is in that."""
+    location, files = _file_system(spark, path)
+    files.mkdirs(location.getParent())
+    try:
+        files.create(location, False).close()
+    except Py4JJavaError as error:
+        if not files.exists(location):
+            raise error
+        return False
+    return True
+
+
+def changed_at(spark: SparkSession, path: str) -> float | None:
+    """Seconds since 1970 of a file's last change; none if there is no file."""
+    location, files = _file_system(spark, path)
+    try:
+        return files.getFileStatus(location).getModificationTime() / 1000
+    except Py4JJavaError as error:
+        if files.exists(location):
+            raise error
+        return None
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder, files = _file_system(spark, path)
     files.delete(folder, True)

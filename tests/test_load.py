@@ -7,9 +7,9 @@ import pytest
 
 from ledger_sync import DAG, SCRIPT
 from ledger_sync.operators.validate import ORPHAN, repeated_keys
-from ledger_sync.plans import load
+from ledger_sync.plans import load, warehouse as warehouse_module
 from ledger_sync.plans.load import BatchRejected, run_batch
-from ledger_sync.plans.warehouse import Warehouse
+from ledger_sync.plans.warehouse import Conflict, Warehouse, create_file, list_names
 from tests import golden
 from tests.golden import balances, money
 
@@ -425,3 +425,51 @@ def test_vacuum_keeps_what_the_newest_versions_name(spark, warehouse, full, incr
     assert balances(warehouse) == stored and warehouse.transactions().count() == count
     assert sorted({r["v"] for r in warehouse.rejects().collect()}) == [2, 3, 4]
     assert warehouse.has_batch("a") and warehouse.vacuum(keep=1) == []
+
+
+def test_of_two_loads_at_a_time_one_is_published(spark, warehouse, full, users_csv, txns_csv, monkeypatch):
+    """The other one has read what is no longer current; it changes nothing, and can be run again."""
+    run_batch(spark, *full, warehouse, run_ts=RUN_1)
+    late = users_csv("900,Late,5550100900,1"), txns_csv()
+    early = users_csv("901,Early,5550100901,1"), txns_csv()
+    advance = load.advance_watermark
+
+    def meanwhile(*args):
+        monkeypatch.setattr(load, "advance_watermark", advance)
+        other = Warehouse(spark, warehouse.root)
+        assert run_batch(spark, *early, other, run_ts=RUN_2).version == 3
+        return advance(*args)
+
+    monkeypatch.setattr(load, "advance_watermark", meanwhile)
+    with pytest.raises(Conflict):
+        run_batch(spark, *late, warehouse, run_ts=RUN_2)
+    assert warehouse.version() == 3 and warehouse.watermark() == RUN_2
+    assert set(balances(warehouse)) == {*golden.FILE_BALANCES, 901}
+    assert run_batch(spark, *late, warehouse, run_ts=RUN_2).version == 4
+    assert set(balances(warehouse)) == {*golden.FILE_BALANCES, 900, 901}
+
+
+def test_a_claim_that_was_left_behind_is_passed_over_in_time(spark, warehouse, full, monkeypatch):
+    assert create_file(spark, f"{warehouse.root}/claims/after=0-0")
+    with pytest.raises(Conflict):
+        run_batch(spark, *full, warehouse, run_ts=RUN_1)
+    assert warehouse.version() == 0
+    monkeypatch.setattr(warehouse_module, "CLAIM_SECONDS", 0)
+    run_batch(spark, *full, warehouse, run_ts=RUN_1)
+    assert balances(warehouse) == money(golden.FULL_BALANCES)
+    names = list_names(spark, f"{warehouse.root}/claims")
+    assert sorted(names) == ["after=0-0", "v=0", "v=1", "v=2"]
+    assert not create_file(spark, f"{warehouse.root}/claims/v=2")
+    warehouse.vacuum(keep=1)
+    assert list_names(spark, f"{warehouse.root}/claims") == ["v=2"]
+
+
+def test_older_versions_can_be_read(spark, warehouse, full, increment):
+    run_batch(spark, *full, warehouse, run_ts=RUN_1)
+    before = warehouse.at()
+    run_batch(spark, *increment, warehouse, run_ts=RUN_2)
+    assert balances(before) == balances(warehouse.at(1)) == money(golden.FULL_BALANCES)
+    assert before.watermark() == RUN_1 and before.transactions().count() == 8
+    assert warehouse.at(0).users().isEmpty() and len(balances(warehouse)) > len(golden.FULL_BALANCES)
+    with pytest.raises(ValueError, match="no version 9"):
+        warehouse.at(9)
