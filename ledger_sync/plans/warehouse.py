@@ -193,11 +193,18 @@ class Warehouse:
     def bucket_of(self, userid: Column) -> Column:
         return F.pmod(F.xxhash64(userid.cast("bigint")), F.lit(self.user_buckets)).cast("int")
 
-    def read_users(self, buckets: list[Entry]) -> DataFrame:
+    def read_users(self, buckets: list[Entry], with_bucket: bool = False) -> DataFrame:
         schema = _nullable(self.limits.users())
+        schema = schema.add(BUCKET, T.IntegerType()) if with_bucket else schema
         if not buckets:
             return _empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{e.path}" for e in buckets])
+        paths = [f"{self.root}/{e.path}" for e in buckets]
+        if not with_bucket:
+            return self.spark.read.schema(schema).parquet(*paths)
+        # Versions of a bucket lie in several folders, so the column comes from each path.
+        parts = F.regexp_extract("_metadata.file_path", rf"/{BUCKET}=(\d+)/[^/]*$", 1).cast("int")
+        users = self.spark.read.schema(_nullable(self.limits.users())).parquet(*paths)
+        return users.select(*schema.names[:-1], parts.alias(BUCKET))
 
     def waiting(self) -> DataFrame:
         """Transactions that were put in quarantine because their user was unknown, and still is."""

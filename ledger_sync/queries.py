@@ -26,6 +26,7 @@ from ledger_sync.operators.validate import (
     accepted, check_transactions, check_users, orphan_userids, orphans, repeated_keys,
 )
 from ledger_sync.plans.load import BatchRejected, Report, run_batch
+from ledger_sync.plans.audit import violations
 from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.schemas import (
     BLOCK, DAG, DATE_FORM, FILE, NA_TOKENS, REASON, RECORD, ROW, SCRIPT, SCRIPT_CAPPED,
@@ -1062,3 +1063,60 @@ def load_refused(spark: SparkSession, folder: str) -> DataFrame:
     except BatchRejected:
         return warehouse.users().select("userid", "balance")
     raise AssertionError("the load should have been refused")
+
+
+# Constraints of what is stored
+
+_BAD_SQL = """
+u AS (
+  SELECT c_custkey AS userid, CASE WHEN c_custkey % 7 = 0 THEN repeat(c_name, 6) ELSE c_name END AS name
+  FROM customer WHERE c_custkey % 3 <> 0),
+t AS (
+  SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey END AS transactionid, o_custkey AS userid,
+         o_orderkey % 11 = 0 AS long_method, o_orderkey % 17 = 0 AS misplaced
+  FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 10 = 0))"""
+
+
+@query(f"""
+WITH {_BAD_SQL}
+SELECT 'users' AS source, 'name is too long' AS rule, count(*) AS n FROM u WHERE length(name) > 100
+UNION ALL SELECT 'transactions', 'transactionid is null', count(*) FROM t WHERE transactionid IS NULL
+UNION ALL SELECT 'transactions', 'transactionid is repeated', CAST(sum(n - 1) AS BIGINT) FROM (
+  SELECT count(*) AS n FROM t WHERE transactionid IS NOT NULL GROUP BY transactionid)
+UNION ALL SELECT 'transactions', 'userid is not in users', count(*) FROM t
+  WHERE userid NOT IN (SELECT userid FROM u)
+UNION ALL SELECT 'transactions', 'method is too long', count(*) FROM t WHERE long_method
+UNION ALL SELECT 'transactions', 'date is in another period', count(*) FROM t WHERE misplaced
+UNION ALL SELECT 'updatemetadata', 'the control row is not there once', 1""")
+def stored_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that some other writer has stored unchecked: the broken rules, and by how many rows."""
+    warehouse = Warehouse(spark, scratch_path(spark, "violations"), WIDE, "year")
+    users, txns = users_of(spark, folder).where("userid % 3 <> 0"), transactions_of(spark, folder)
+    name = F.when(F.col("userid") % 7 == 0, F.repeat("name", 6)).otherwise(F.col("name"))
+    txns = txns.unionByName(txns.where("transactionid % 10 = 0"))
+    number = F.col("transactionid")
+    bad = txns.withColumns({
+        "period": warehouse.period_of(F.when(number % 17 == 0, F.add_months("date", 12)).otherwise(F.col("date"))),
+        "method": F.when(number % 11 == 0, F.repeat(F.lit("x"), 60)).otherwise(F.col("method")),
+        "transactionid": F.when(number % 13 != 0, number),
+    })
+    version = warehouse.next_version()
+    entries = warehouse.write_users(users.withColumn("name", name), version)
+    entries += warehouse.write_periods(bad, version)
+    empty = warehouse.limits.metadata()
+    entries.append(warehouse.write_whole("updatemetadata", spark.createDataFrame([], empty), version))
+    warehouse.publish(version, entries)
+    return violations(warehouse).where("n > 0").withColumnRenamed("table", "source")
+
+
+@query("SELECT 'no rule' AS rule, count(*) AS n FROM orders WHERE o_orderkey IS NULL")
+def published_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """A load, its upsert, and the tables they publish: no rule is broken."""
+    base = scratch_path(spark, "published")
+    warehouse = Warehouse(spark, f"{base}/warehouse", WIDE, "year").init()
+    _load_extracts(warehouse, users_of(spark, folder), transactions_of(spark, folder), f"{base}/first")
+    later = transaction_batch_of(spark, folder)
+    _load_extracts(warehouse, users_of(spark, folder).where("userid % 2 = 0"), later, f"{base}/second")
+    broken = F.concat_ws("; ", F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.col("rule")))))
+    total = violations(warehouse).agg(broken.alias("rule"), F.sum("n").alias("n"))
+    return total.select(F.when(F.col("rule") == "", "no rule").otherwise(F.col("rule")).alias("rule"), "n")

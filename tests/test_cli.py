@@ -1,5 +1,7 @@
 """The command line."""
 
+import pytest
+
 from ledger_sync.__main__ import main
 from ledger_sync.plans.warehouse import Warehouse
 from tests import golden
@@ -44,3 +46,24 @@ def test_options(spark, tmp_path, users_csv, txns_csv, capsys):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     assert warehouse.version() == 1 and warehouse.has_batch("day-1")
     assert [r["name"] for r in warehouse.users().collect()] == ["A\nb"]
+
+
+def test_check_and_vacuum(spark, tmp_path, users_csv, txns_csv, capsys):
+    folder = ["--warehouse", str(tmp_path / "wh"), "--period", "month", "--user-buckets", "2"]
+    files = ["--users", users_csv(*golden.FULL_USERS), "--transactions", txns_csv(*golden.FULL_TXNS)]
+    for _ in range(3):
+        main(["load", *folder, *files, "--date-form", "yyyy-MM-dd HH:mm:ss", "--undated", "reject"])
+    main(["check", *folder])
+    assert "no constraint is broken" in capsys.readouterr().out
+    main(["vacuum", *folder, "--keep", "1"])
+    assert "users/v=1" in capsys.readouterr().out.split()
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), period="month", user_buckets=2)
+    assert len(balances(warehouse)) == len(golden.FULL_BALANCES) and warehouse.version() == 3
+    rows = warehouse.transactions().unionByName(warehouse.transactions().limit(1))
+    version = warehouse.next_version()
+    entries = [e for e in warehouse.entries() if e.table != "transactions"]
+    rows = rows.withColumn("period", warehouse.period_of(rows["date"]))
+    warehouse.publish(version, entries + warehouse.write_periods(rows, version))
+    with pytest.raises(SystemExit):
+        main(["check", *folder])
+    assert "transactions: transactionid is repeated: 1" in capsys.readouterr().out
