@@ -17,6 +17,7 @@ from ledger_sync.plans.audit import violations
 from ledger_sync.plans.load import Counts, Report, run_batch
 from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.schemas import DATE_FORMS, PRESETS, SEED_WATERMARK, Limits
+from ledger_sync.sources.extracts import FILE_FORMATS
 from ledger_sync.streaming.ingest import ingest_new_files
 
 
@@ -36,8 +37,9 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--keep", type=int, default=2, help="newest versions to keep")
         if name in ("check", "vacuum"):
             continue
-        command.add_argument("--users", required=True, help="CSV extract of users")
-        command.add_argument("--transactions", required=True, help="CSV extract of transactions")
+        command.add_argument("--users", required=True, help="extract of users")
+        command.add_argument("--transactions", required=True, help="extract of transactions")
+        command.add_argument("--format", choices=FILE_FORMATS, default="csv", help="of both extracts")
         command.add_argument("--preset", choices=sorted(PRESETS), default="script")
         command.add_argument("--policy", choices=["fail", "quarantine"], default="quarantine")
         command.add_argument(
@@ -78,6 +80,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         "classify": args.classify,
         "date_form": args.date_form,
         "undated": args.undated,
+        "file_format": args.format,
     }
     if args.command == "load":
         paths = args.users, args.transactions

@@ -30,7 +30,7 @@ from ledger_sync.schemas import (
     METADATA, RECORD, REASON, SCRIPT, TRANSACTION_COLUMNS, TRANSACTION_SINK_COLUMNS, TRANSACTIONS,
     UNDATED, USER_COLUMNS, USERS, Preset,
 )
-from ledger_sync.sources.extracts import csv_extract, date_form_of
+from ledger_sync.sources.extracts import FILE_FORMATS, csv_extract, date_form_of, read_json_extract
 
 
 #: Ranges that the keys of a batch are summed up in.
@@ -92,14 +92,21 @@ def run_batch(
     transactions_path: str | list[str],
     warehouse: Warehouse,
     multiline: bool | None = None,
+    file_format: str = "csv",
     **options,
 ) -> Report:
-    """The whole daily run on two CSV extracts, whose files may each have their header in any order
-    and letter case. See ``load_batch`` for the options.
+    """The whole daily run on two extracts: CSV files, which may each have their header in any order
+    and letter case, or files with one JSON object a line. See ``load_batch`` for the options.
 
     ``multiline`` reads line breaks in quoted text, but does not split files. Where it is not
-    given, it is used for an extract with a quote that stays open on some line.
+    given, it is used for a CSV extract with a quote that stays open on some line.
     """
+    if file_format not in FILE_FORMATS:
+        raise ValueError(f"file_format must be one of {', '.join(FILE_FORMATS)}: {file_format}")
+    if file_format == "json":
+        users = read_json_extract(spark, users_path, USER_COLUMNS)
+        transactions = read_json_extract(spark, transactions_path, TRANSACTION_COLUMNS)
+        return load_batch(warehouse, users, transactions, **options)
     users = csv_extract(spark, users_path, USER_COLUMNS)
     transactions = csv_extract(spark, transactions_path, TRANSACTION_COLUMNS)
     if options.get("date_form") is None:

@@ -34,7 +34,9 @@ from ledger_sync.schemas import (
     Preset,
 )
 from ledger_sync.session import scratch_path
-from ledger_sync.sources.extracts import csv_extract, land_rows, read_csv_extract
+from ledger_sync.sources.extracts import (
+    csv_extract, land_rows, read_csv_extract, read_json_extract,
+)
 from ledger_sync.streaming.ingest import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1065,6 +1067,59 @@ def load_refused(spark: SparkSession, folder: str) -> DataFrame:
     raise AssertionError("the load should have been refused")
 
 
+# Extracts of JSON lines, as an API sends them
+
+
+def _write_json(rows: DataFrame, path: str) -> None:
+    """One object a line, under names in other letter case; every fifth row has its id under a wrong
+    name, every seventh is cut off in the middle."""
+    named = rows.toDF(*[c.capitalize() for c in rows.columns])
+    key = F.col(named.columns[0])
+    whole = F.to_json(F.struct(*named.columns, F.lit("x").alias("note")))
+    nameless = F.to_json(F.struct(key.alias("number"), *named.columns[1:]))
+    line = F.when(key % 7 == 0, F.substring(whole, 1, 20)).when(key % 5 == 0, nameless).otherwise(whole)
+    named.select(line.alias("value")).write.text(path)
+
+
+@query(f"""
+WITH {TXNS_SQL}
+SELECT CASE WHEN r IS NULL THEN transactionid END AS transactionid,
+       CASE WHEN broken THEN NULL ELSE userid END AS userid,
+       CASE WHEN broken THEN NULL ELSE CAST(amount AS DOUBLE) END AS amount,
+       CASE WHEN broken THEN NULL ELSE type END AS type, CASE WHEN broken THEN NULL ELSE date END AS date,
+       r AS reject_reason
+FROM (SELECT *, transactionid % 7 = 0 AS broken,
+             CASE WHEN transactionid % 7 = 0 THEN 'no JSON object' WHEN transactionid % 5 = 0
+                  THEN 'transactionid is missing or no whole number' END AS r FROM txns)""")
+def json_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "json")
+    _write_json(_as_text(transactions_of(spark, folder)).select(*TRANSACTION_COLUMNS), path)
+    landed = read_json_extract(spark, path, TRANSACTION_COLUMNS)
+    parsed = parse_transactions(landed, "yyyy-MM-dd HH:mm:ss.f")
+    return parsed.select(*TRANSACTION_COLUMNS[:5], REASON)
+
+
+@query(f"""
+WITH {EVENTS_SQL}
+SELECT c_custkey AS userid,
+       CAST(CAST(c_acctbal AS DECIMAL(10,2)) + COALESCE(net, 0) AS DECIMAL(22,2)) AS balance
+FROM customer LEFT JOIN (
+  SELECT userid, SUM(CASE type WHEN 'credit' THEN amount WHEN 'debit' THEN -amount END) AS net
+  FROM event_txns WHERE status = 'completed' AND transactionid % 7 <> 0 AND transactionid % 5 <> 0
+  GROUP BY userid) ON c_custkey = userid""")
+def stream_json_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of JSON lines arrive; lines that are broken or lack their id go to quarantine."""
+    base = scratch_path(spark, "stream-json")
+    warehouse = Warehouse(spark, f"{base}/warehouse", WIDE, "month").init()
+    _write_json(_as_text(event_transactions_of(spark, folder)).select(*TRANSACTION_COLUMNS), f"{base}/transactions")
+    users_of(spark, folder).select(*USER_COLUMNS).write.json(f"{base}/users")
+    ingest_new_files(
+        warehouse, f"{base}/users", f"{base}/transactions", f"{base}/checkpoint", file_format="json",
+        balances="net_changes",
+    ).awaitTermination()
+    return warehouse.users().select("userid", "balance")
+
+
 # Constraints of what is stored
 
 _BAD_SQL = """

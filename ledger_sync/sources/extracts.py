@@ -1,6 +1,6 @@
 """Landing of user and transaction extracts.
 
-CSV files land as text, other sources in their own types, with lowercase names plus
+CSV files and JSON lines land as text, other sources in their own types, with lowercase names plus
 
 * ``_file, _block, _row``: the position in file order. The id rises within one
   split, and (path, offset) orders the splits, so the triple does not depend on
@@ -21,6 +21,7 @@ from pyspark.sql.streaming import DataStreamReader
 from ledger_sync.functions.parsing import form_of, null_if_token
 from ledger_sync.schemas import BLOCK, DATE_FORM, FILE, FILE_ORDER, RECORD, REASON, ROW
 
+FILE_FORMATS = ("csv", "json")
 _RAW = "_raw"
 # A quoted field that does not end on its line.
 _OPEN_QUOTE = r'(?:^|,)"(?:[^"]|"")*$'
@@ -123,6 +124,39 @@ def extract_of(lines: DataFrame, columns: Sequence[str]) -> Extract:
     return Extract(spark, tuple(columns), headers, any(row["open"] for row in files))
 
 
+def read_json_extract(
+    spark: SparkSession, path: str | list[str], columns: Sequence[str]
+) -> DataFrame:
+    """Land files with one JSON object a line, as an API sends them."""
+    return json_rows(text_lines(spark.read, path), columns)
+
+
+def json_rows(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The records of ``text_lines`` that are JSON objects, in a batch or a micro-batch.
+
+    Keys come in any order and letter case (of several that differ in case only, the first counts),
+    and further ones are left out; a key that is not there is null. Numbers land as text, so they are
+    read like those of a CSV extract. Blank lines are no records; other lines are rejected ones.
+    """
+    fields = F.map_entries(F.from_json("value", "map<string,string>"))
+    parsed = lines.where(F.trim("value") != "").withColumn("_fields", fields)
+
+    def value_of(name: str) -> Column:
+        mine = F.filter("_fields", lambda field: F.lower(field["key"]) == name)
+        return F.get(mine, F.lit(0))["value"]
+
+    is_bad = F.col("_fields").isNull()
+    return place(
+        parsed.select(
+            *[value_of(c).alias(c) for c in columns],
+            FILE,
+            BLOCK,
+            F.when(is_bad, F.lit("no JSON object")).alias(REASON),
+            F.when(is_bad, F.col("value")).alias(RECORD),
+        )
+    )
+
+
 def land_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Land rows of any other source (a JDBC table, JSON of an API) that Spark can load.
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledger_sync.plans.load import load_batch
 from ledger_sync.plans.warehouse import Warehouse
 from ledger_sync.schemas import TRANSACTION_COLUMNS, TRANSACTIONS, USER_COLUMNS, USERS
-from ledger_sync.sources.extracts import extract_of, text_lines
+from ledger_sync.sources.extracts import FILE_FORMATS, extract_of, json_rows, text_lines
 
 _TABLE = "_table"
 
@@ -20,6 +20,7 @@ def ingest_new_files(
     checkpoint: str,
     name: str = "ingest",
     multiline: bool | None = None,
+    file_format: str = "csv",
     **options,
 ) -> StreamingQuery:
     """Load the files that arrived since the last run, then stop.
@@ -32,9 +33,12 @@ def ingest_new_files(
 
     The stream is of lines, which tell what files are new, their headers (each in any order and
     letter case) and whether a quote stays open; the files are then read as those of a batch load.
+    With ``file_format="json"`` the lines are the records, one JSON object each.
     ``multiline`` reads line breaks in quoted text; where it is not given, it is used for a table
     with a quote that stays open. A file that lacks a column stops the run.
     """
+    if file_format not in FILE_FORMATS:
+        raise ValueError(f"file_format must be one of {', '.join(FILE_FORMATS)}: {file_format}")
     spark = warehouse.spark
     users, transactions = (
         text_lines(spark.readStream, folder).withColumn(_TABLE, F.lit(table))
@@ -46,9 +50,13 @@ def ingest_new_files(
         if warehouse.has_batch(batch):
             return
         sent = [
-            extract_of(lines.where(F.col(_TABLE) == table).drop(_TABLE), columns)
+            (lines.where(F.col(_TABLE) == table).drop(_TABLE), columns)
             for table, columns in ((USERS, USER_COLUMNS), (TRANSACTIONS, TRANSACTION_COLUMNS))
         ]
+        if file_format == "json":
+            load_batch(warehouse, *[json_rows(*part) for part in sent], batch=batch, **options)
+            return
+        sent = [extract_of(*part) for part in sent]
         own = {"date_form": options.get("date_form") or sent[1].date_form(multiline)}
         load_batch(warehouse, *[e.rows(multiline) for e in sent], batch=batch, **options | own)
 

@@ -67,3 +67,14 @@ def test_check_and_vacuum(spark, tmp_path, users_csv, txns_csv, capsys):
     with pytest.raises(SystemExit):
         main(["check", *folder])
     assert "transactions: transactionid is repeated: 1" in capsys.readouterr().out
+
+
+def test_json_extracts(spark, tmp_path, write_csv, capsys):
+    users = write_csv('{"userid": 1, "name": "Ann", "contact": "5550100001", "balance": 2.5}', name="u.json")
+    txns = write_csv(
+        '{"transactionid": 5, "userid": 1, "amount": 1, "type": "debit", "date": "2024-08-22 10:00:00", "status": "completed"}',
+        "no object", name="t.json",
+    )
+    main(["load", "--warehouse", str(tmp_path / "wh"), "--format", "json", "--users", users, "--transactions", txns])
+    assert "rejected: no JSON object: 1" in capsys.readouterr().out
+    assert balances(Warehouse(spark, str(tmp_path / "wh"))) == money({1: "1.50"})
