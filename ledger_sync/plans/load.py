@@ -408,17 +408,20 @@ def _merge_transactions(
         return entries, stored, None
     ranges = _key_ranges(batch)
     candidates = [e for e in entries if e.may_hold(ranges)]
-    known = _periods_of_known_keys(warehouse.read_periods(candidates), batch) if candidates else set()
+    searched = stored if candidates == entries else warehouse.read_periods(candidates)
+    known = _periods_of_known_keys(searched, batch) if candidates else set()
+    # What follows uses the first listing of folders; a filter on the period leaves out the others.
     touched = known | batch.periods
-    replaced = matched(_only(warehouse, entries, known), batch.rows, key, batch.size)
-    old = _only(warehouse, entries, touched)
+    replaced = matched(warehouse.only(stored, known), batch.rows, key, batch.size)
+    old = warehouse.only(stored, touched & {_name(e) for e in entries})
     written = warehouse.write_periods(_by_period(old, batch), version)
     new = warehouse.read_periods(written)
     _count_upserts(batch, old, new)
     if classify:
         _count_unchanged(batch, replaced)
     untouched = [e for e in entries if _name(e) not in touched]
-    return untouched + written, warehouse.read_periods(untouched).unionByName(new), replaced
+    rest = warehouse.only(stored, {_name(e) for e in untouched})
+    return untouched + written, rest.unionByName(new), replaced
 
 
 def _by_period(stored: DataFrame, batch: _Batch) -> DataFrame:
@@ -473,11 +476,6 @@ def _key_ranges(batch: _Batch) -> list[tuple[int, int]]:
     return [(row[1], row[2]) for row in parts.collect()]
 
 
-def _only(warehouse: Warehouse, entries: list[Entry], periods: set[str | None]) -> DataFrame:
-    """The rows of some periods; no other folder is listed or read."""
-    return warehouse.read_periods([e for e in entries if _name(e) in periods])
-
-
 def _name(entry: Entry) -> str | None:
     return None if entry.start is None else entry.period
 

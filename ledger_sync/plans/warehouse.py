@@ -289,6 +289,14 @@ class Warehouse:
         reader = reader.option("basePath", f"{self.root}/{TRANSACTIONS}")
         return reader.parquet(*[f"{self.root}/{e.path}" for e in periods]).select(*schema.names)
 
+    def only(self, transactions: DataFrame, periods: set[str | None]) -> DataFrame:
+        """The rows of ``read_periods`` in some periods; no folder of another period is read."""
+        if not periods:
+            return self.read_periods([])
+        days = [date.fromisoformat(p) for p in periods if p is not None]
+        wanted = F.col(PERIOD).isin(days)
+        return transactions.where(wanted | F.col(PERIOD).isNull() if None in periods else wanted)
+
     # Writing
 
     def write_whole(self, table: str, df: DataFrame, version: int) -> Entry:
@@ -310,12 +318,14 @@ class Warehouse:
         """Write transactions into one folder per period and list the periods that have rows.
 
         A write by period sorts by it anyhow; sorting by id as well gives row groups narrow
-        ranges of ids, so that a later upsert can skip those without a key of its batch.
+        ranges of ids, so that a later upsert can skip those without a key of its batch. Bloom filters
+        are as large as the ids of a file need: at full size, they outweighed small files by far.
         """
         path, prefix = f"{TRANSACTIONS}/v={version}", f"{PERIOD}="
         typed = _typed(df, self.limits.transactions().add(PERIOD, "date"))
         ordered = typed.sortWithinPartitions(PERIOD, "transactionid")
         writer = ordered.write.option("parquet.bloom.filter.enabled#transactionid", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.partitionBy(PERIOD).parquet(f"{self.root}/{path}")
         folders = [n for n in list_names(self.spark, f"{self.root}/{path}") if n.startswith(prefix)]
         entries = [Entry(TRANSACTIONS, f"{path}/{f}", f.removeprefix(prefix)) for f in folders]
