@@ -48,7 +48,10 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--date-form", choices=sorted(DATE_FORMS), help="default: that of the first date")
         command.add_argument("--undated", choices=["keep", "reject"], default="keep")
         command.add_argument("--seed", default=SEED_WATERMARK, help="mark of a fresh warehouse")
-        command.add_argument("--multiline", action="store_true", help="line breaks in quotes")
+        command.add_argument(
+            "--multiline", action=argparse.BooleanOptionalAction,
+            help="line breaks in quotes; default: where a quote stays open",
+        )
         command.add_argument("--classify", action="store_true", help="count unchanged rows apart")
         command.add_argument("--run-ts", help="run time, yyyy-MM-dd HH:mm:ss; default: now")
     commands.choices["ingest"].add_argument("--checkpoint", required=True)
@@ -84,12 +87,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
     }
     if args.command == "load":
         paths = args.users, args.transactions
-        options["multiline"] = args.multiline or None
+        options["multiline"] = args.multiline
         print(summary(run_batch(spark, *paths, warehouse, batch=args.batch, **options)))
         return
     ingest_new_files(
         warehouse, args.users, args.transactions, args.checkpoint,
-        multiline=args.multiline or None, **options
+        multiline=args.multiline, **options
     ).awaitTermination()
     print(f"version {warehouse.version()}, watermark {warehouse.watermark()}")
 

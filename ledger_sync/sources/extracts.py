@@ -22,7 +22,7 @@ from ledger_sync.functions.parsing import form_of, null_if_token
 from ledger_sync.schemas import BLOCK, DATE_FORM, FILE, FILE_ORDER, RECORD, REASON, ROW
 
 FILE_FORMATS = ("csv", "json")
-_RAW = "_raw"
+_RAW, _MORE = "_raw", "_more"
 # A quoted field that does not end on its line.
 _OPEN_QUOTE = r'(?:^|,)"(?:[^"]|"")*$'
 
@@ -38,7 +38,7 @@ def read_csv_extract(
     header = [c.lower() for c in spark.read.option("header", True).csv(path).columns]
     _require(header, columns)
     reader = spark.read.schema(_text_schema(header)).options(**_csv_options(multiline))
-    return place(_flag_long_rows(locate(reader.csv(path)), len(header), columns))
+    return place(_flag_rows(locate(reader.csv(path)), len(header), columns))
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,8 @@ class Extract:
     line_breaks: bool
 
     def rows(self, multiline: bool | None = None) -> DataFrame:
-        """Land all files. Those with the same header are one read."""
+        """Land all files. Those with the same header are one read. Where line breaks are there but not
+        to be read, a row with a quote that stays open is rejected."""
         parts = [self._read(h, sorted(paths), multiline) for h, paths in sorted(self._alike().items())]
         if not parts:
             none = self.spark.createDataFrame([], _text_schema(self.columns))
@@ -81,9 +82,12 @@ class Extract:
     def _read(
         self, header: tuple[str, ...], paths: list[str], multiline: bool | None, columns: Sequence[str] = ()
     ) -> DataFrame:
-        options = _csv_options(self.line_breaks if multiline is None else multiline)
+        multiline = self.line_breaks if multiline is None else multiline
+        options, may_be_cut = _csv_options(multiline), self.line_breaks and not multiline
+        if may_be_cut:  # with a field more than there is, Spark keeps the raw line of whole rows, too
+            header, options = (*header, _MORE), options | {"enforceSchema": True}
         reader = self.spark.read.schema(_text_schema(header)).options(**options)
-        return _flag_long_rows(locate(reader.csv(paths)), len(header), columns or self.columns)
+        return _flag_rows(locate(reader.csv(paths)), len(header), columns or self.columns, may_be_cut)
 
 
 def csv_extract(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> Extract:
@@ -113,7 +117,7 @@ def extract_of(lines: DataFrame, columns: Sequence[str]) -> Extract:
     seen = place(lines.where(F.trim(value) != "")).groupBy(
         FILE, F.when(F.contains(F.lower(value), F.lit(columns[0])) & is_header, value).alias("line")
     )
-    seen = seen.agg(F.max(value.rlike(_OPEN_QUOTE)).alias("open"), F.min(BLOCK).alias(BLOCK), F.min(ROW).alias(ROW))
+    seen = seen.agg(F.max(_is_open(value)).alias("open"), F.min(BLOCK).alias(BLOCK), F.min(ROW).alias(ROW))
     first = F.min(F.when(F.col("line").isNotNull(), F.struct(BLOCK, ROW, "line")))
     files = seen.groupBy(FILE).agg(F.max("open").alias("open"), first.alias("first")).collect()
     headers = {}
@@ -229,21 +233,30 @@ def _csv_options(multiline: bool) -> dict[str, object]:
     }
 
 
-def _flag_long_rows(df: DataFrame, width: int, columns: Sequence[str]) -> DataFrame:
+def _flag_rows(
+    df: DataFrame, width: int, columns: Sequence[str], may_be_cut: bool = False
+) -> DataFrame:
     """Keep short rows, padded with null; flag rows with more fields than the header.
 
-    Spark keeps the raw line for both, so the fields are counted there.
+    Spark keeps the raw line for both, so the fields are counted there. ``may_be_cut``: the last
+    field of ``width`` is not the header's; rows that a line break in quotes has cut are flagged, too.
     """
-    too_long = _field_count(F.col(_RAW)) > width
-    return df.select(
-        *columns,
-        FILE,
-        BLOCK,
-        F.when(too_long, F.lit("too many fields")).alias(REASON),
-        F.when(too_long, F.col(_RAW)).alias(RECORD),
+    raw = F.col(_RAW)
+    too_long = F.when(_field_count(raw) > width, F.lit("too many fields"))
+    if may_be_cut:
+        too_long = F.when(raw.isNull() | (_field_count(raw) >= width), F.lit("too many fields"))
+        too_long = F.coalesce(F.when(_is_open(raw), F.lit("a quote stays open")), too_long)
+    return df.withColumn(REASON, too_long).select(
+        *columns, FILE, BLOCK, REASON, F.when(F.col(REASON).isNotNull(), raw).alias(RECORD)
     )
 
 
+def _is_open(line: Column) -> Column:
+    """A quoted field that does not end on its line, whose quotes cannot all be pairs."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.contains(line, F.lit('"')) & (quotes % 2 == 1) & line.rlike(_OPEN_QUOTE)
+
+
 def _field_count(line: Column) -> Column:
     unquoted = F.regexp_replace(line, '"[^"]*"', "")
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
