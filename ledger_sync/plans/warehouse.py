@@ -438,8 +438,9 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The table's columns in the table's types, as it is read with; a value beyond them raises."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    """Columns in the types that the table is read with; a value beyond them raises."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
