@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 #: Further queries of an operator, whose rows are not documents.
 FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+FURTHER_ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
@@ -118,7 +119,7 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Windows of three words by hash join of their text; the rules as they are in the ledger.
-_OP4_SQL = """
+_OP4_MEASURES = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws,
@@ -140,7 +141,8 @@ m AS (
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals
-  FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id)
+  FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id)"""
+_OP4_SQL = f"""{_OP4_MEASURES}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words
@@ -161,7 +163,32 @@ def op4_quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
     return ablations(ledger(documents(spark, folder)), BASE, CURRENT)
 
 
+_OP4_FAILS = {
+    "few_words": "n_words < 50",
+    "repeated_words": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > 3 * n_words",
+    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "word_length": "word_chars NOT BETWEEN 2 * n_words AND 15 * n_words",
+    "capitals": "2 * n_capitals > word_chars",
+}
+
+
+def _ablations_sql() -> str:
+    """Each rule of each policy on its own, counted from the measures."""
+    rows = []
+    for version, rules in ((1, list(_OP4_FAILS)[:2]), (2, list(_OP4_FAILS))):
+        for rule in rules:
+            others = " OR ".join(f"({_OP4_FAILS[r]})" for r in rules if r != rule)
+            own = f"({_OP4_FAILS[rule]})"
+            rows.append(f"""SELECT '{rule}' AS rule, {version} AS version, count(*) FILTER (WHERE {own}) AS n_failed,
+       count(*) FILTER (WHERE {own} AND NOT ({others})) AS n_failed_alone,
+       count(*) FILTER (WHERE NOT ({own} OR {others})) AS n_kept,
+       count(*) FILTER (WHERE NOT ({others})) AS n_kept_without FROM m""")
+    return _OP4_MEASURES + "\n" + "\nUNION ALL\n".join(rows)
+
+
 FURTHER["op4_quality_ablations"] = op4_quality_ablations
+FURTHER_ORACLES["op4_quality_ablations"] = _ablations_sql()
 
 
 @query()
@@ -306,7 +333,60 @@ def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
-@query()
+# A CRC is the XOR of what each byte adds at its distance from the end, the first four bytes inverted.
+# Words are near if the same rest is left without one letter at the same place, or one is such a rest.
+_OP13_SQL = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS bytes
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+               translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+        FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+single AS (
+  SELECT b, format('{{:02X}}', b) AS pair,
+         list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS v
+  FROM (SELECT unnest(range(256)) AS b)),
+shares AS (
+  SELECT CAST(0 AS BIGINT) AS distance, b, v FROM single
+  UNION ALL
+  SELECT distance + 1, s.b, xor(s.v >> 8, t.v) FROM shares s JOIN single t ON t.b = s.v & 255
+  WHERE distance < (SELECT max(length(bytes)) // 2 FROM runs)),
+bytes AS (
+  SELECT doc_id, run, length(bytes) // 2 - 1 - i AS distance, i, substr(bytes, 2 * i + 1, 2) AS pair
+  FROM (SELECT doc_id, run, bytes, unnest(range(length(bytes) // 2)) AS i FROM runs)),
+hashes AS (
+  SELECT doc_id, run, xor(bit_xor(s.v), 4294967295) AS h
+  FROM bytes y JOIN single x ON x.pair = y.pair
+  JOIN shares s ON s.distance = y.distance AND s.b = CASE WHEN y.i < 4 THEN xor(x.b, 255) ELSE x.b END
+  GROUP BY doc_id, run),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0 THEN substr(r.run, 1, h % length(r.run)) || substr(r.run, h % length(r.run) + 2)
+                  ELSE r.run END AS word
+        FROM runs r JOIN hashes h ON h.run = r.run AND h.doc_id IS NOT DISTINCT FROM r.doc_id)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+rests AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near FROM rests a JOIN rests b ON b.i = a.i AND b.rest = a.rest AND b.word <> a.word
+  UNION SELECT r.word, w.word FROM rests r JOIN words w ON w.word = r.rest
+  UNION SELECT w.word, r.word FROM rests r JOIN words w ON w.word = r.rest),
+best AS (
+  SELECT near.word, count(*) AS n_near, first(near ORDER BY w.n DESC, near) AS near, max(w.n) AS near_n
+  FROM near JOIN words w ON w.word = near.near GROUP BY near.word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+         CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word),
+walk AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT walk.word, form FROM walk JOIN forms ON forms.word = walk.at WHERE form IS NOT NULL)
+SELECT forms.word, forms.form, walk.at AS root, forms.n, forms.n_near, forms.form_n
+FROM forms JOIN walk ON walk.word = forms.word JOIN forms ends ON ends.word = walk.at WHERE ends.form IS NULL"""
+
+
+@query(_OP13_SQL)
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     words = word_counts(documents(spark, folder), min_length=6, min_count=5, typo_every=199)
     return spelling_variants(words, ratio=5)

@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from ledger_sync.llm.queries import ORACLES, QUERIES
+from ledger_sync.llm.queries import FURTHER, FURTHER_ORACLES, ORACLES, QUERIES
 from tests.llm.test_spelling import counted, grouped
 
 DATA = "/root/testdata/sf0.001"
@@ -26,19 +26,19 @@ def values(columns, rows):
 
 def test_there_is_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
-    assert ORACLES.keys() <= QUERIES.keys()
+    assert ORACLES.keys() <= QUERIES.keys() and FURTHER_ORACLES.keys() <= FURTHER.keys()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted({**ORACLES, **FURTHER_ORACLES}))
 def test_query_equals_sql(spark, duck, name):
-    df = QUERIES[name](spark, DATA)
-    result = duck.execute(ORACLES[name])
+    df = {**QUERIES, **FURTHER}[name](spark, DATA)
+    result = duck.execute({**ORACLES, **FURTHER_ORACLES}[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
     assert values(df.columns, df.collect()) == values(columns, result.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op13_spelling_variants"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_every_document_has_its_row(spark, name):
     docs = sorted(r[0] for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect())
     assert sorted(r["doc_id"] for r in QUERIES[name](spark, DATA).collect()) == docs
