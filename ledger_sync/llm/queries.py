@@ -12,6 +12,7 @@ from .bpe import encode_decode
 from .common import table, text_digest
 from .decontaminate import decontaminate
 from .filter_audit import filter_audit
+from .hash_sql import xxh64_sql
 from .license_scan import TEMPLATES, license_scan
 from .line_dedup import line_dedup
 from .quality_classifier import score_quality
@@ -203,7 +204,33 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), tokenizer, limit=1024)
 
 
-@query()
+# Majorities bit by bit; fingerprints against each other; what is reachable from each.
+_OP7_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+         '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT doc_id, array_to_string(list_slice(ws, i, i + 3), ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 0) + 2)) AS i FROM d WHERE len(ws) > 0)),
+{xxh64_sql("shingles")},
+ones AS (
+  SELECT doc_id, bit, 2 * sum(CAST((h >> CAST(bit AS UHUGEINT)) & 1 AS BIGINT)) > count(*) AS most
+  FROM (SELECT doc_id, h, unnest(range(64)) AS bit FROM shingles JOIN hashes USING (s)) GROUP BY doc_id, bit),
+prints AS (
+  SELECT d.doc_id, coalesce(p, 0) AS print
+  FROM d LEFT JOIN (SELECT doc_id, CAST(sum(CAST(1 AS HUGEINT) << CAST(bit AS HUGEINT)) AS HUGEINT) AS p
+                    FROM ones WHERE most GROUP BY doc_id) o ON o.doc_id = d.doc_id),
+single AS (SELECT print, min(doc_id) AS first_id FROM prints GROUP BY print),
+links AS (SELECT a.print AS a, b.print AS b FROM single a, single b WHERE bit_count(xor(a.print, b.print)) <= 4),
+reach AS (
+  SELECT print AS a, print AS b FROM single
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, lower(lpad(hex(CAST(p.print AS UBIGINT)), 16, '0')) AS fingerprint, component_id
+FROM prints p JOIN (SELECT a AS print, min(first_id) AS component_id
+                    FROM reach JOIN single ON single.print = reach.b GROUP BY a) c ON c.print = p.print"""
+
+
+@query(_OP7_SQL)
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_groups(documents(spark, folder), shingle=4, max_distance=4)
     return found.select("doc_id", "fingerprint", "component_id")

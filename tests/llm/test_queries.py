@@ -4,7 +4,9 @@ from pathlib import Path
 
 import duckdb
 import pytest
+import xxhash
 
+from ledger_sync.llm.hash_sql import xxh64_sql
 from ledger_sync.llm.queries import FURTHER, FURTHER_ORACLES, ORACLES, QUERIES
 from tests.llm.test_spelling import counted, grouped
 
@@ -61,3 +63,12 @@ def test_variants_are_those_of_a_plain_search(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
     got = {tuple(r) for r in QUERIES["op13_spelling_variants"](spark, DATA).collect()}
     assert got == grouped(counted([tuple(r) for r in docs], typo_every=199))
+
+
+def test_the_hash_in_sql_is_the_library_s(duck):
+    """Every length about whole stripes, and bytes of all values a text has."""
+    texts = ["é漢🎉z\x00\x7f"[: n % 7] + "abcdefghij" * 12 for n in range(7)]
+    texts = sorted({t[:n] for t in texts for n in range(len(t))})
+    duck.execute("CREATE TABLE texts AS SELECT unnest(?) AS s", [texts])
+    got = dict(duck.execute(f"WITH {xxh64_sql('texts')} SELECT s, h FROM hashes").fetchall())
+    assert got == {t: xxhash.xxh64_intdigest(t.encode(), 42) for t in texts}
