@@ -86,18 +86,68 @@ def test_no_documents(spark):
     assert score_toxicity(empty(spark), labels_of(spark, [(1, 1), (2, 0)])).collect() == []
 
 
-def test_a_long_text_that_fills_the_sample_is_left_out(spark, monkeypatch, tmp_path):
-    monkeypatch.setattr(tox, "TRAIN_WORDS", 200)
+def unpacked(rows):
+    """Ids and words of each block, and their labels."""
+    found = []
+    for r in rows.collect():
+        columns = ((r["ids"], "<i8"), (r["sizes"], "<i8"), (r["labels"], "i1"))
+        found.append(list(zip(*(np.frombuffer(x, t).tolist() for x, t in columns))))
+    return found
+
+
+def test_every_labelled_row_is_learnt_from_however_long(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tox, "BLOCK_WORDS", 200)
     a, b, c, d, gone = 0, 8, 10, 12, 14  # none is held out
-    docs = documents(spark, [(a, "a " * 150), (b, "b " * 150), (c, "c " * 300), (d, "d " * 20), (d, "e " * 10)])
+    docs = documents(spark, [(a, "a " * 150), (b, "b " * 150), (c, "c " * 300), (d, "d " * 20), (d, "e " * 10), (7, "x")])
     labels = labels_of(spark, [(a, 0), (a, 1), (b, 0), (c, 1), (d, 1), (gone, 1)])
-    sample, totals = tox._sample(docs, labels, str(tmp_path))
-    kept = {r["doc_id"]: (r["label"], len(r["codes"])) for r in sample.collect()}
+    rows, totals = tox._write_blocks(docs, labels, str(tmp_path / "blocks"))
     # Toxic if any label says so; the shortest of the rows of an id.
-    assert kept in ({a: (1, 150), d: (1, 10)}, {b: (0, 150), d: (1, 10)})
+    assert sorted(unpacked(rows)) == [[(a, 150, 1)], [(b, 150, 0)], [(c, 300, 1)], [(d, 10, 1)]]
     assert totals == {0: 1, 1: 4}
 
 
+def test_rows_that_fill_several_blocks_are_all_learnt_from(spark, tmp_path):
+    ids = spark.range(14_000)
+    docs = ids.selectExpr("id AS doc_id", "concat('word', id % 5, ' and') AS text")
+    rows, _ = tox._write_blocks(docs, ids.selectExpr("id AS doc_id", "int(id % 20 = 0) AS toxic"), str(tmp_path / "blocks"))
+    found, learnt = unpacked(rows), [i for i in range(14_000) if not held_out(i)]
+    assert len(learnt) > tox.BLOCK_ROWS and all(len(x) <= tox.BLOCK_ROWS for x in found)
+    assert sorted(x for block in found for x in block) == [(i, 2, int(i % 20 == 0)) for i in learnt]
+    counts = tox._tallied(rows).sum(0)
+    assert counts[:, tox._PAD].tolist() == [sum(i % 20 > 0 for i in learnt), sum(i % 20 == 0 for i in learnt)]
+    for i in range(5):
+        bucket = tox.buckets(encode(f"word{i}", tox._Codes()))[0, 0]
+        assert counts[:, bucket].sum() == sum(x % 5 == i for x in learnt)
+
+
+def test_blocks_are_averaged_and_logits_counted(spark, monkeypatch):
+    rows, labels = corpus()
+    docs, labels = documents(spark, rows), labels_of(spark, labels)
+    one = tox.fit(docs, labels)
+    seen = []
+    rounds, logits = tox._round, tox._unseen_logits
+    monkeypatch.setattr(tox, "_round", lambda blocks, *a: (seen.append(blocks.count()), rounds(blocks, *a)))
+    monkeypatch.setattr(tox, "_unseen_logits", lambda *a: seen.append(logits(*a)) or seen[-1])
+    monkeypatch.setattr(tox, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(tox, "LOGIT_ROWS", 10)
+    several = tox.fit(docs, labels)
+    *blocks, (found, _, _, counts) = seen
+    assert len(blocks) == tox.ROUNDS and min(blocks) >= 3
+    assert counts.sum() == sum(not held_out(i) for i, _ in rows) and (found * tox.LOGIT_STEPS % 1 == 0).all()
+    unseen = [(encode(t, tox._Codes()), i % 4 == 0) for i, t in rows if held_out(i)]
+    for model in (one, several):
+        right = (model.score([t for t, _ in unseen]) >= 0.7) == np.array([x for _, x in unseen])
+        assert right.mean() > 0.97
+
+
+def test_chunks_do_not_change_what_is_learnt(monkeypatch):
+    rows, labels = corpus(40)
+    texts, labels = [encode(t, tox._Codes()) for _, t in rows], np.array([t for _, t in labels])
+    whole = tox._values(train(texts, labels))
+    monkeypatch.setattr(tox, "CHUNK_WORDS", 7)
+    assert np.allclose(tox._values(train(texts, labels)), whole, atol=1e-3)
+
+
 def test_words_are_the_same_however_texts_are_sliced(monkeypatch):
     text = f"Straße {LONG} ÉCOLE　the\n\n end" + "x" * 500
     whole = encode(text, tox._Codes())
